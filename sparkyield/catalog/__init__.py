@@ -6,7 +6,7 @@ import importlib
 
 from sparkyield.catalog import registry
 
-MODULES = ["team"]
+MODULES = ["team", "lags"]
 
 
 def _load() -> None:

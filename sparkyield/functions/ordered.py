@@ -76,11 +76,19 @@ def positioned(df: DataFrame, order: list[str]) -> DataFrame:
 
 
 def blocks(
-    df: DataFrame, by: list[str], order: list[str], halo: int, limit: int | None = None
+    df: DataFrame,
+    by: list[str],
+    order: list[str],
+    halo: int,
+    limit: int | None = None,
+    sized_by: DataFrame | None = None,
 ) -> Blocks:
-    """Prepare ``df`` for row frames of up to ``halo`` rows within ``by``."""
+    """Prepare ``df`` for row frames of up to ``halo`` rows within ``by``.
+
+    ``sized_by`` is a cheaper table with the same rows, used for the size check.
+    """
     limit = runtime.GROUP_ROWS if limit is None else limit
-    if runtime.largest_group(df, by) <= limit:
+    if runtime.largest_group(df if sized_by is None else sized_by, by) <= limit:
         if by:
             return Blocks(df, by, order)
         return Blocks(df.withColumn(BLOCK, F.lit(0)), [BLOCK], order)

@@ -31,18 +31,22 @@ def quantile_rows(
     weight: str | None = None,
     method: str = "linear",
     limit: int | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """One row per group with ``q`` = array of exact quantiles at ``probs``.
 
     ``method`` is ``linear`` (interpolated) or ``nearest`` (the element at
     ``round((n - 1) * p)``). Groups within ``limit`` use the built-in
     ``percentile``; beyond it the quantiles are read off the running total of
-    the value counts, which never gathers a group in one task.
+    the value counts, which never gathers a group in one task. ``largest`` is
+    the size of the biggest group where the caller already knows it.
     """
     limit = runtime.GROUP_ROWS if limit is None else limit
     base = df.select(*by, F.col(value).alias("_v"), *([weight] if weight else []))
     base = base.where(F.col("_v").isNotNull())
-    if method == "linear" and runtime.largest_group(base, by) <= limit:
+    if method == "linear" and largest is None:
+        largest = runtime.largest_group(base, by)
+    if method == "linear" and largest <= limit:
         ps = F.array(*[F.lit(float(p)) for p in probs])
         agg = F.percentile("_v", ps, F.col(weight)) if weight else F.percentile("_v", ps)
         return base.groupBy(*by).agg(agg.alias("q"))
