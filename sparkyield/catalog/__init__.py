@@ -6,7 +6,7 @@ import importlib
 
 from sparkyield.catalog import registry
 
-MODULES = ["team", "lags"]
+MODULES = ["team", "lags", "evaluate"]
 
 
 def _load() -> None:

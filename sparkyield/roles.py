@@ -70,3 +70,26 @@ PERSON_ROLES = {
     "DIA_COSECHA_PERSONA": "dia_cosecha_persona",
     "BOLSA_FLAG": "bolsa_flag",
 }
+
+# reporting limits
+VERDICT_LEVELS = [
+    ("alta_confianza", 15.0, 0.10),
+    ("confianza_aceptable", 22.0, 0.18),
+    ("confianza_limitada", 35.0, 0.30),
+]
+VERDICT_WORST = "no_recomendado"
+MAPE_CRITICAL = 25.0
+GAP_WARN = 0.20
+SUBGROUP_RATIO = 1.5
+SUBGROUP_MIN = 10
+KPI_MAPE = (15.0, 25.0)
+KPI_R2 = (80.0, 60.0)
+KPI_GAIN = (50.0, 25.0)
+R2_TARGET, R2_AMBER = 0.90, 0.70
+MAE_TARGET, MAE_AMBER_RATIO = 0.20, 2.0
+GAP_TIE, MAPE_TIE = 0.005, 0.5
+GATE_MAPE, GATE_GAP = 25.0, 18.0
+MONTHS = ["Ene", "Feb", "Mar", "Abr", "May", "Jun", "Jul", "Ago", "Sep", "Oct", "Nov", "Dic"]
+HA_EDGES = [(1.0, "≤1 ha"), (3.0, "1-3 ha"), (6.0, "3-6 ha")]
+HA_LAST = ">6 ha"
+QUARTILE_LABELS = ["Q1 bajo", "Q2", "Q3", "Q4 alto"]
