@@ -6,7 +6,7 @@ import importlib
 
 from sparkyield.catalog import registry
 
-MODULES = ["team", "lags", "evaluate"]
+MODULES = ["team", "lags", "prepare", "evaluate"]
 
 
 def _load() -> None:

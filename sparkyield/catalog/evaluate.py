@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sparkyield import roles, runtime
 from sparkyield.catalog.registry import query
+from sparkyield.functions.scalar import cut
 from sparkyield.operators import champion as ch
 from sparkyield.operators import evaluate as ev
 from sparkyield.sources.fixtures import KEY
@@ -64,7 +65,7 @@ def ensemble_band(df):
     rows = runtime.attach(df, sd, ["fundo", "formato"], check=True)
     low, high = ev.ensemble_band(F.col("y_pred"), F.col("sd"))
     out = ev.prediction_table(rows, low, high)
-    return out.select(*KEY, *[F.round(c, 4).alias(c) for c in ("estimacion_baja", "estimacion_alta")])
+    return out.select(*KEY, *[cut(c, 4) for c in ("estimacion_baja", "estimacion_alta")])
 
 
 @query("E6", "pred", f"""{ERR}, g AS (SELECT variedad, formato, count(*) AS n_cosechas, avg(kg_jr) AS a, avg(kp) AS b, avg(ae) AS c, avg(pe) AS d1, max(ae) AS f FROM e GROUP BY 1, 2)
@@ -216,7 +217,7 @@ SELECT g.variedad, i, round(x, 6) AS x, round(sum(n * exp(-pow((x - (h.lo + bin
 FROM g JOIN h USING (variedad) GROUP BY 1, 2, 3""", digits=10)
 def density(df):
     out = ev.density(df, V, "kg_jr_h")
-    return out.withColumn("x", F.round("x", 6))
+    return out.withColumn("x", cut("x", 6))
 
 
 QQ = [(i + 0.5) / 100 for i in range(100)]
@@ -249,9 +250,9 @@ def context(df):
 
 # two deterministic competitors per variety, scored in and out of fold
 RESULTS = """two AS (
- SELECT variedad, 'gm_ff' AS model, y_true AS y, y_pred AS p, round(avg(y_true) OVER (PARTITION BY fundo, formato), 6) AS f, 2.0 AS t FROM pred UNION ALL
- SELECT variedad, 'gm_f', y_true, round((sum(y_true) OVER (PARTITION BY fundo) - sum(y_true) OVER (PARTITION BY fundo, fold_id)) / (count(*) OVER (PARTITION BY fundo) - count(*) OVER (PARTITION BY fundo, fold_id)), 6),
-   round(avg(y_true) OVER (PARTITION BY fundo), 6), 1.0 FROM pred),
+ SELECT variedad, 'gm_ff' AS model, y_true AS y, y_pred AS p, ROUND(avg(y_true) OVER (PARTITION BY fundo, formato), 6) AS f, 2.0 AS t FROM pred UNION ALL
+ SELECT variedad, 'gm_f', y_true, ROUND((sum(y_true) OVER (PARTITION BY fundo) - sum(y_true) OVER (PARTITION BY fundo, fold_id)) / (count(*) OVER (PARTITION BY fundo) - count(*) OVER (PARTITION BY fundo, fold_id)), 6),
+   ROUND(avg(y_true) OVER (PARTITION BY fundo), 6), 1.0 FROM pred),
 res AS (SELECT variedad, model, abs(avg(abs(y - p)) - avg(abs(y - f))) AS abs_gap, avg(abs((y - f) / y)) * 100 AS full_mape, avg(abs((y - p) / y)) * 100 AS oof_mape,
  avg(abs(y - p)) AS mae, count(*) / 1000 * any_value(t)::DOUBLE AS seconds FROM two GROUP BY 1, 2),
 rk AS (SELECT *, row_number() OVER (PARTITION BY variedad ORDER BY floor(abs_gap / 0.005::DOUBLE) NULLS LAST, floor(full_mape / 0.5::DOUBLE) NULLS LAST, seconds, model) AS rank FROM res)"""

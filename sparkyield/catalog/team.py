@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sparkyield import runtime
 from sparkyield.catalog.registry import query
 from sparkyield.functions.quantiles import quantile_rows
+from sparkyield.functions.scalar import cut
 from sparkyield.operators import team
 from sparkyield.plans.team_features import team_features
 from sparkyield.sources.fixtures import KEY
@@ -113,7 +114,7 @@ def history_30d(df):
     return _history(df, "history").select(
         *KEY,
         F.col("kg_jr_h_hist_avg_30d").alias("hist_avg"),
-        F.round("kg_jr_h_hist_std_30d", 3).alias("hist_std"),
+        cut("kg_jr_h_hist_std_30d", 3).alias("hist_std"),
     )
 
 
@@ -147,11 +148,11 @@ def first_year(df):
     return _history(df, "tenure").select(*KEY, "es_primer_anio")
 
 
-@query("T12", "person_day", f"""{P}, {HIST} SELECT {KEYS}, round(dow_kgh + 1.23e-8, 6) AS kgh_dow, round(dow_h, 6) AS horas_dow FROM h2""")
+@query("T12", "person_day", f"""{P}, {HIST} SELECT {KEYS}, round(dow_kgh, 6) AS kgh_dow, round(dow_h, 6) AS horas_dow FROM h2""")
 def weekday_history(df):
     return _history(df, "weekday").select(
         *KEY,
-        (F.col("kg_jr_h_hist_dow_avg_120d") + 1.23e-8).alias("kgh_dow"),
+        F.col("kg_jr_h_hist_dow_avg_120d").alias("kgh_dow"),
         F.col("horas_hist_dow_avg_120d").alias("horas_dow"),
     )
 
@@ -236,7 +237,7 @@ SUPERVISION = [
 
 def _lots(df):
     out = team_features(df, KEY)
-    return out.withColumn("kg_jr_h_hist_std_30d", F.round("kg_jr_h_hist_std_30d", 3))
+    return out.withColumn("kg_jr_h_hist_std_30d", cut("kg_jr_h_hist_std_30d", 3))
 
 
 @query("T19", "person_day", f"{ALL} SELECT p.fecha, p.fundo, p.formato, {A_SQL} {ROWS} GROUP BY 1, 2, 3")
