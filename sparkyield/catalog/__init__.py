@@ -6,7 +6,7 @@ import importlib
 
 from sparkyield.catalog import registry
 
-MODULES = ["team", "lags", "prepare", "evaluate"]
+MODULES = ["team", "lags", "prepare", "evaluate", "profile", "tests"]
 
 
 def _load() -> None:

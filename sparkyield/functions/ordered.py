@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from sparkyield import runtime
 
 POS = "_pos"
+IDX = "_idx"
 BLOCK = "_block"
 COPY = "_copy"
 _SLOT = (1 << 33) - 1
@@ -82,22 +83,31 @@ def blocks(
     halo: int,
     limit: int | None = None,
     sized_by: DataFrame | None = None,
+    index: bool = False,
 ) -> Blocks:
     """Prepare ``df`` for row frames of up to ``halo`` rows within ``by``.
 
     ``sized_by`` is a cheaper table with the same rows, used for the size check.
+    ``index`` adds ``_idx``, the 0-based position within the group.
     """
     limit = runtime.GROUP_ROWS if limit is None else limit
     if runtime.largest_group(df if sized_by is None else sized_by, by) <= limit:
-        if by:
-            return Blocks(df, by, order)
-        return Blocks(df.withColumn(BLOCK, F.lit(0)), [BLOCK], order)
+        if not by:
+            df, by = df.withColumn(BLOCK, F.lit(0)), [BLOCK]
+        if index:
+            w = Window.partitionBy(*by).orderBy(*order)
+            df = df.withColumn(IDX, (F.row_number().over(w) - 1).cast("long"))
+        return Blocks(df, by, order)
     size = max(limit, 2 * halo)
     block = F.floor(F.col(POS) / size).cast("long")
     near_end = F.col(POS) % size >= size - halo
+    placed = positioned(df, by + order)
+    if index:
+        starts = placed.groupBy(*by).agg(F.min(POS).alias("_start"))
+        placed = runtime.attach(placed, starts, by, check=True)
+        placed = placed.withColumn(IDX, F.col(POS) - F.col("_start")).drop("_start")
     cut = (
-        positioned(df, by + order)
-        .withColumn(
+        placed.withColumn(
             "_targets",
             F.when(near_end, F.array(block, block + 1)).otherwise(F.array(block)),
         )
