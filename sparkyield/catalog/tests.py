@@ -73,7 +73,7 @@ LONG = "l AS (" + " UNION ALL ".join(
 ) + """), yp AS (SELECT *, lead(y) OVER (PARTITION BY variedad ORDER BY y) AS y2 FROM (SELECT DISTINCT variedad, y FROM l))"""
 PSI = f"""{LONG}, ed AS (SELECT variedad, variable, y, list_sort(list_distinct(quantile_cont(value, {[i / 10 for i in range(11)]}))) AS e, count(*) AS n1 FROM l GROUP BY ALL HAVING count(*) >= 50),
 na AS (SELECT variedad, variable, y AS y2, count(*) AS n2 FROM l GROUP BY ALL HAVING count(*) >= 50),
-p AS (SELECT ed.variedad, variable, ed.y AS y1, yp.y2, e, n1, n2 FROM ed JOIN yp ON ed.variedad = yp.variedad AND ed.y = yp.y JOIN na USING (variedad, variable, y2) WHERE len(e) >= 3),
+p AS (SELECT ed.variedad, ed.variable, ed.y AS y1, yp.y2, e, n1, n2 FROM ed JOIN yp ON ed.variedad = yp.variedad AND ed.y = yp.y JOIN na ON na.variedad = ed.variedad AND na.variable = ed.variable AND na.y2 = yp.y2 WHERE len(e) >= 3),
 bn AS (SELECT p.variedad, p.variable, y1, p.y2, n1, n2, l.y = y1 AS early, len(list_filter(e[2:len(e) - 1], lambda z: z <= value)) AS b FROM p JOIN l ON p.variedad = l.variedad AND p.variable = l.variable AND l.y IN (y1, p.y2)),
 gr AS (SELECT variedad, variable, y1, y2, n1, n2, unnest(range(len(e) - 1)) AS b FROM p),
 ct AS (SELECT gr.*, greatest(count(*) FILTER (early) / n1, 1e-6) AS pe, greatest(count(*) FILTER (NOT early) / n2, 1e-6) AS pa FROM gr LEFT JOIN bn USING (variedad, variable, y1, y2, n1, n2, b) GROUP BY ALL),
@@ -120,3 +120,67 @@ def breusch_pagan(df):
 @query("D24", "harvest")
 def white(df):
     return regression.white(df, V, Y, ["kg_ha", "dpc"])
+
+
+@query("D25", "pred")
+def residual_battery(df):
+    from sparkyield.plans import profile as plan
+
+    return plan.residual_tests(df, V, ORDER)
+
+
+@query("D25_summary", "pred", """SELECT variedad, count(*) AS n, round(avg(abs(y_true - y_pred)), 6) AS mae, round(sqrt(avg(pow(y_true - y_pred, 2))), 6) AS rmse, round(avg(y_true - y_pred), 6) AS bias FROM pred GROUP BY 1""")
+def residual_summary(df):
+    from sparkyield.plans import profile as plan
+
+    return plan.residual_summary(df, V)
+
+
+@query("D25_findings", "pred")
+def residual_findings(df):
+    from sparkyield.plans import profile as plan
+
+    return plan.residual_findings(plan.residual_tests(df, V, ORDER), V)
+
+
+def _profile(df):
+    from sparkyield.plans import profile as plan
+
+    return plan.profile_dataset(df, V, ORDER, roles.NUMERIC, roles.CATEGORICAL, Y, "fecha")
+
+
+@query("D26", "harvest")
+def findings(df):
+    from sparkyield.plans import profile as plan
+
+    return plan.findings(_profile(df), V, Y)
+
+
+@query("D27", "harvest")
+def profile_dataset(df):
+    from sparkyield.plans import profile as plan
+
+    tables = _profile(df)
+    return plan.stats_rows(tables, "variedad", plan.findings(tables, V, Y), "2001-01-01T00:00:00")
+
+
+@query("S9", "harvest", f"""{PSI}, m AS (SELECT variedad, variable, max(psi) AS m FROM psi GROUP BY 1, 2)
+SELECT variedad, '2002-01-01T00:00:00' AS eda_generated_at, round(max(m), 6) AS drift_psi_max, count(*) FILTER (m > 0.25) AS drift_severe_count,
+coalesce(array_to_string(list_sort(list(variable) FILTER (m > 0.25)), ','), '') AS drift_severe_vars, 0::BIGINT AS eda_findings_high FROM m GROUP BY 1""")
+def stored_stats(df):
+    import uuid
+
+    from sparkyield import runtime
+    from sparkyield.sources import writers
+
+    sev = drift.drift_severity(drift.drift_report(df, V, NUM), V)
+    rows = sev.select(
+        "variedad", F.lit("2002-01-01T00:00:00").alias("generated_at"), F.lit("drift").alias("section"),
+        F.col("variable").alias("name"), F.lit("max_psi").alias("metric"), F.col("max_psi").alias("value"),
+        F.col("severity").alias("label"),
+    )
+    path = f"{runtime.shared_dir(df.sparkSession)}/stats-{uuid.uuid4().hex}"
+    older = rows.withColumns({"generated_at": F.lit("2001-01-01T00:00:00"), "value": F.lit(9.0)})
+    writers.write_stats(older, path)
+    writers.write_stats(rows, path)
+    return writers.drift_summary(df.sparkSession.read.schema(writers.STATS_SCHEMA).json(path))
