@@ -6,7 +6,7 @@ import importlib
 
 from sparkyield.catalog import registry
 
-MODULES = ["team", "lags", "prepare", "evaluate", "profile", "tests", "similarity"]
+MODULES = ["team", "lags", "prepare", "models", "evaluate", "profile", "tests", "similarity"]
 
 
 def _load() -> None:

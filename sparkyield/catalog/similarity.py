@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import functions as F
@@ -45,6 +46,8 @@ MW = f"""{pairs_sql('harvest', True)}, mc AS (SELECT *, c1 + c2 AS t, sum(c1 + c
 mu AS (SELECT variedad, ancla, variable, CAST(sum(c1) AS BIGINT) AS n1, CAST(sum(c2) AS BIGINT) AS n2, sum(c1 * (hi - (t - 1) / 2)) - sum(c1)::DOUBLE * (sum(c1) + 1) / 2 AS u, sum(t::DOUBLE * t * t - t) AS ties FROM mc GROUP BY ALL),
 mz AS (SELECT variedad, ancla, variable, n1, n2, u, (greatest(u, n1::DOUBLE * n2 - u) - n1::DOUBLE * n2 / 2 - 0.5) / sqrt(n1::DOUBLE * n2 / 12 * ((n1 + n2 + 1) - ties / ((n1 + n2)::DOUBLE * (n1 + n2 - 1)))) AS z FROM mu),
 sh AS (SELECT variedad, ancla, count(*) FILTER (abs(z) < {sim.Z_05!r}) AS n_similares, count(*) AS n_total, count(*) FILTER (abs(z) < {sim.Z_05!r}) / count(*) * 100 AS pct_similar FROM mz GROUP BY ALL)"""
+#: the same steps under other names, for use next to WASS
+MW2 = re.sub(r"\b(vl|vc|pr|pc)\b", r"\g<1>2", MW)
 LAB = f"lb AS (SELECT variedad, ancla_asignada AS entrena_con FROM asg UNION ALL SELECT variedad, variedad FROM sz WHERE variedad IN {IN})"
 
 
@@ -117,7 +120,7 @@ def summary(df):
     return sim.group_summary(s.assigned(s.distances()), s.sizes, ANCHORS)
 
 
-@query("K6", "harvest", f"""{SIZES}, {WASS}, {MW.replace('vl AS', 'vl2 AS').replace('FROM vl ', 'FROM vl2 ').replace('vc AS', 'vc2 AS').replace('FROM vc', 'FROM vc2').replace('JOIN vc ', 'JOIN vc2 ').replace('vc.', 'vc2.').replace('pr AS', 'pr2 AS').replace('pr.*', 'pr2.*').replace('FROM pr ', 'FROM pr2 ').replace('pr.ancla', 'pr2.ancla').replace('pc AS', 'pc2 AS').replace('FROM pc', 'FROM pc2')}
+@query("K6", "harvest", f"""{SIZES}, {WASS}, {MW2}
 SELECT variedad, n_filas, zona, variedad AS entrena_con, 0.0::DOUBLE AS distancia_wass, 'zona ' || zona AS nota FROM sz WHERE variedad IN {IN} UNION ALL
 SELECT a.variedad, n_filas, 'agrupar', ancla_asignada, distancia_wass, printf('Vecino más cercano: %s (dist=%.3f, similitud=%.0f%%)', ancla_asignada, distancia_wass, coalesce(pct_similar, 0)) FROM asg a LEFT JOIN sh ON sh.variedad = a.variedad AND sh.ancla = a.ancla_asignada""")
 def result(df):

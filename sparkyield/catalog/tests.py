@@ -76,8 +76,9 @@ na AS (SELECT variedad, variable, y AS y2, count(*) AS n2 FROM l GROUP BY ALL HA
 p AS (SELECT ed.variedad, ed.variable, ed.y AS y1, yp.y2, e, n1, n2 FROM ed JOIN yp ON ed.variedad = yp.variedad AND ed.y = yp.y JOIN na ON na.variedad = ed.variedad AND na.variable = ed.variable AND na.y2 = yp.y2 WHERE len(e) >= 3),
 bn AS (SELECT p.variedad, p.variable, y1, p.y2, n1, n2, l.y = y1 AS early, len(list_filter(e[2:len(e) - 1], lambda z: z <= value)) AS b FROM p JOIN l ON p.variedad = l.variedad AND p.variable = l.variable AND l.y IN (y1, p.y2)),
 gr AS (SELECT variedad, variable, y1, y2, n1, n2, unnest(range(len(e) - 1)) AS b FROM p),
-ct AS (SELECT gr.*, greatest(count(*) FILTER (early) / n1, 1e-6) AS pe, greatest(count(*) FILTER (NOT early) / n2, 1e-6) AS pa FROM gr LEFT JOIN bn USING (variedad, variable, y1, y2, n1, n2, b) GROUP BY ALL),
-psi AS (SELECT variedad, variable, y1, y2, n1 AS n_expected, n2 AS n_actual, sum((pa - pe) * ln(pa / pe)) AS psi FROM ct GROUP BY ALL)"""
+ct AS (SELECT gr.variedad, gr.variable, gr.y1, gr.y2, gr.n1, gr.n2, gr.b, count(*) FILTER (early) AS ce, count(*) FILTER (NOT early) AS ca FROM gr LEFT JOIN bn ON gr.variedad = bn.variedad AND gr.variable = bn.variable AND gr.y1 = bn.y1 AND gr.b = bn.b GROUP BY 1, 2, 3, 4, 5, 6, 7),
+cs AS (SELECT *, greatest(ce / n1, 1e-6) AS pe, greatest(ca / n2, 1e-6) AS pa FROM ct),
+psi AS (SELECT variedad, variable, y1, y2, n1 AS n_expected, n2 AS n_actual, sum((pa - pe) * ln(pa / pe)) AS psi FROM cs GROUP BY ALL)"""
 
 
 @query("D20", "harvest", f"{PSI} SELECT variedad, variable, y1, y2, n_expected, n_actual, round(psi, 6) AS psi FROM psi")
@@ -143,24 +144,24 @@ def residual_findings(df):
     return plan.residual_findings(plan.residual_tests(df, V, ORDER), V)
 
 
-def _profile(df):
+def _profile(df, widest):
     from sparkyield.plans import profile as plan
 
-    return plan.profile_dataset(df, V, ORDER, roles.NUMERIC, roles.CATEGORICAL, Y, "fecha")
+    return plan.profile_dataset(df, V, ORDER, roles.NUMERIC, roles.CATEGORICAL, Y, "fecha", widest)
 
 
 @query("D26", "harvest")
 def findings(df):
     from sparkyield.plans import profile as plan
 
-    return plan.findings(_profile(df), V, Y)
+    return plan.findings(_profile(df, 0), V, Y)
 
 
 @query("D27", "harvest")
 def profile_dataset(df):
     from sparkyield.plans import profile as plan
 
-    tables = _profile(df)
+    tables = _profile(df, 3)
     return plan.stats_rows(tables, "variedad", plan.findings(tables, V, Y), "2001-01-01T00:00:00")
 
 
