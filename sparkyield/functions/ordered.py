@@ -82,16 +82,16 @@ def blocks(
     order: list[str],
     halo: int,
     limit: int | None = None,
-    sized_by: DataFrame | None = None,
+    largest: int | None = None,
     index: bool = False,
 ) -> Blocks:
     """Prepare ``df`` for row frames of up to ``halo`` rows within ``by``.
 
-    ``sized_by`` is a cheaper table with the same rows, used for the size check.
+    ``largest`` is the size of the biggest group where the caller knows it.
     ``index`` adds ``_idx``, the 0-based position within the group.
     """
     limit = runtime.GROUP_ROWS if limit is None else limit
-    if runtime.largest_group(df if sized_by is None else sized_by, by) <= limit:
+    if (runtime.largest_group(df, by) if largest is None else largest) <= limit:
         if not by:
             df, by = df.withColumn(BLOCK, F.lit(0)), [BLOCK]
         if index:

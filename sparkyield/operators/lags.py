@@ -7,8 +7,12 @@ date, then the unique key. ``scope`` holds the columns that separate models
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from sparkyield import roles, runtime
 from sparkyield.functions import scalar
@@ -19,6 +23,8 @@ GROUPS = {"ff": ["fundo", "formato"], "f": ["fundo"], "fmt": ["formato"]}
 VALUES = [roles.TARGET, "kg_ha"]
 #: rows of a day-range frame that may be held as one array
 FRAME_ROWS = 200_000
+#: rows of a block handed to one sliding-median call
+ROLL_ROWS = 1_000_000
 
 OUTPUTS = (
     [f"{v}_lag_{g}_{n}" for g in GROUPS for v in VALUES for n in roles.LAG_WINDOWS]
@@ -30,60 +36,69 @@ SIMPLE_OUTPUTS = ["kg_jr_h_lag_ff_simple_1", "kg_jr_h_lag_ff_simple_2", "kg_jr_h
 
 
 def with_medians(df: DataFrame, values: dict[str, Column]) -> DataFrame:
-    """Medians of arrays whose missing entries are NaN; each needs 3 present.
+    """Medians of arrays without missing entries; each needs 3 of them.
 
-    Sorted arrays and counts are columns of their own, so that each is built
-    once per row.
+    Sorted arrays are columns of their own, so that each is built once per row.
     """
-    df = df.withColumns({f"_s_{k}": F.sort_array(v) for k, v in values.items()})  # NaN last
-    df = df.withColumns(
-        {f"_n_{k}": F.size(f"_s_{k}") - F.size(F.filter(f"_s_{k}", F.isnan)) for k in values}
-    )
+    df = df.withColumns({f"_s_{k}": F.sort_array(v) for k, v in values.items()})
     out = {}
     for k in values:
-        s, n = F.col(f"_s_{k}"), F.col(f"_n_{k}")
+        s, n = F.col(f"_s_{k}"), F.size(f"_s_{k}")
         low, high = F.floor((n + 1) / 2).cast("int"), F.floor(n / 2).cast("int") + 1
         middle = (F.element_at(s, low) + F.element_at(s, high)) / 2
         out[k] = F.when(n >= roles.LAG_MIN, middle)
-    helpers = [f"_{p}_{k}" for p in "sn" for k in values]
-    return df.withColumns(out).drop(*[h for h in helpers if h not in out])
+    return df.withColumns(out).drop(*[f"_s_{k}" for k in values])
+
+
+def group_sizes(df: DataFrame, scope: list[str]) -> dict[str, int]:
+    """Largest group of every grouping and of the scope, from one pass."""
+    cells = df.groupBy(*scope, *GROUPS["ff"]).agg(F.count("*").alias("ff"))
+    # windows over group counts, not rows
+    totals = {g: F.sum("ff").over(Window.partitionBy(F.lit(0), *scope, *c)) for g, c in GROUPS.items()}
+    totals["all"] = F.sum("ff").over(Window.partitionBy(F.lit(0), *scope))
+    row = cells.select(*[v.alias(f"_{k}") for k, v in totals.items()]).agg(
+        *[F.max(f"_{k}").alias(k) for k in totals]
+    ).first()
+    return {k: row[k] or 0 for k in totals}
 
 
 def rolling_medians(b: Blocks, df: DataFrame, names: dict[str, tuple[str, int]]) -> DataFrame:
     """Medians of the previous rows; ``names`` maps output to (column, rows).
 
-    The longest frame of a column is gathered once and the shorter ones are cut
-    from it, because a built-in percentile would rebuild each frame on its own.
+    Spark's percentile rebuilds every frame; a sliding median over Arrow columns
+    of one block (bounded rows) updates it. Other columns pass through untouched.
     """
-    longest: dict[str, int] = {}
-    for col, n in names.values():
-        longest[col] = max(n, longest.get(col, 0))
-    df = df.withColumns(
-        {
-            f"_held_{c}": F.collect_list(F.coalesce(c, F.lit(float("nan")))).over(b.rows(n))
-            for c, n in longest.items()
+    least = roles.LAG_MIN
+
+    def slide(table: pa.Table) -> pa.Table:
+        order = np.argsort(table["_ord"].to_numpy(), kind="stable")
+        shifted = {
+            c: pd.Series(table[c].to_numpy(zero_copy_only=False).astype(float)[order]).shift(1)
+            for c in dict.fromkeys(col for col, _ in names.values())
         }
-    )
-    parts = {}
-    for k, (c, n) in names.items():
-        held = F.col(f"_held_{c}")
-        if n < longest[c]:
-            held = F.slice(held, F.greatest(F.lit(1), F.size(held) - n + 1), F.lit(n))
-        parts[k] = held
-    return with_medians(df, parts).drop(*[f"_held_{c}" for c in longest])
+        for name, (c, n) in names.items():
+            values = np.empty(len(order))
+            values[order] = shifted[c].rolling(n, min_periods=least).median().to_numpy()
+            table = table.append_column(name, pa.array(values, from_pandas=True))
+        return table.drop_columns(["_ord"])
 
+    schema = StructType([*df.schema.fields, *[StructField(k, DoubleType()) for k in names]])
+    ordered = df.withColumn("_ord", F.row_number().over(b.window()))
+    return ordered.groupBy(*b.by).applyInArrow(slide, schema)
 
-def group_medians(df: DataFrame, key: list[str], scope: list[str], groups=None) -> DataFrame:
+
+def group_medians(
+    df: DataFrame, key: list[str], scope: list[str], groups=None, sizes: dict[str, int] | None = None
+) -> DataFrame:
     """Rolling medians of the target and of kg per hectare for each grouping."""
-    source = df
+    sizes = sizes or group_sizes(df, scope)
     for g in groups or GROUPS:
-        by = scope + GROUPS[g]
-        b = blocks(df, by, [roles.DATE] + key, max(roles.LAG_WINDOWS), sized_by=source)
+        by, order = scope + GROUPS[g], [roles.DATE] + key
+        limit = min(ROLL_ROWS, runtime.GROUP_ROWS)
+        b = blocks(df, by, order, max(roles.LAG_WINDOWS), limit, largest=sizes[g])
+        rows = spread_and_cadence(b, b.df) if g == "ff" else b.df
         names = {f"{v}_lag_{g}_{n}": (v, n) for v in VALUES for n in roles.LAG_WINDOWS}
-        out = rolling_medians(b, b.df, names)
-        if g == "ff":
-            out = spread_and_cadence(b, out)
-        df = b.finish(out)
+        df = b.finish(rolling_medians(b, rows, names))
     return df
 
 
@@ -124,7 +139,7 @@ def seasonal_medians(
     """Median of the same season a year before, per farm, format and day.
 
     All rows of one day share a frame, so the work is done once per (group,
-    day). Short frames are merged from per-day arrays; beyond ``frame_rows`` the
+    day). Short frames are merged from arrays per day; beyond ``frame_rows`` the
     medians come from distributed value counts.
     """
     limit = FRAME_ROWS if frame_rows is None else frame_rows
@@ -210,14 +225,14 @@ def own_ratios(df: DataFrame) -> DataFrame:
 
 
 def global_ratio(
-    df: DataFrame, key: list[str], scope: list[str], sized_by: DataFrame | None = None
+    df: DataFrame, key: list[str], scope: list[str], largest: int | None = None
 ) -> DataFrame:
     """kg per hectare against the previous 30 rows of all groups."""
-    b = blocks(df, scope, [roles.DATE] + key, 30, sized_by=sized_by)
+    limit = min(ROLL_ROWS, runtime.GROUP_ROWS)
+    b = blocks(df, scope, [roles.DATE] + key, 30, limit, largest=largest)
     out = rolling_medians(b, b.df, {"_global": ("kg_ha", 30)})
-    return b.finish(
-        out.withColumn("kg_ha_rel_global_30", scalar.safe_ratio(F.col("kg_ha"), F.col("_global")))
-    ).drop("_global")
+    ratio = scalar.safe_ratio(F.col("kg_ha"), F.col("_global"))
+    return b.finish(out.withColumn("kg_ha_rel_global_30", ratio)).drop("_global")
 
 
 def momentum(df: DataFrame) -> DataFrame:
@@ -248,10 +263,11 @@ def lag_features(
     if missing:
         raise ValueError(f"lag_features: missing columns {missing}")
     out = seasonal_lags(df, scope)
-    out = group_medians(out, key, scope)
+    sizes = group_sizes(df, scope)
+    out = group_medians(out, key, scope, sizes=sizes)
     if simple:
         out = simple_lags(out, key, scope)
-    out = global_ratio(out, key, scope, sized_by=df)
+    out = global_ratio(out, key, scope, sizes["all"])
     known = first_seen(df, scope) if tenure_from is None else tenure_from
     out = farm_tenure(out, scope, known)
     out = farm_position(momentum(own_ratios(out)))

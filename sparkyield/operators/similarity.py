@@ -87,7 +87,7 @@ def wasserstein(pairs: DataFrame, by: list[str] | None = None, limit: int | None
     keys = [*(by or []), "variedad", "ancla", "variable"]
     totals = pairs.groupBy(*keys).agg(F.sum("c1").alias("n1"), F.sum("c2").alias("n2"))
     cum = running_total(pairs, keys, ["value"], {"f1": F.col("c1"), "f2": F.col("c2")}, limit)
-    b = blocks(cum, keys, ["value"], 1, limit, sized_by=pairs)
+    b = blocks(cum, keys, ["value"], 1, limit, largest=runtime.largest_group(pairs, keys))
     w = b.window()
     steps = b.finish(
         b.df.withColumns({"p1": F.lag("f1").over(w), "p2": F.lag("f2").over(w), "gap": F.col("value") - F.lag("value").over(w)})

@@ -66,16 +66,13 @@ def largest_group(df: DataFrame, by: list[str]) -> int:
 
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if its checked row count allows it."""
-    return F.broadcast(df) if rows_up_to(df, limit) else df
+    """Store a derived table once and mark it for broadcast if its row count allows it.
 
-
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str]):
-    """Null-safe join condition on ``keys``."""
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
+    Counting a lazy table would compute it twice; the stored copy is counted from
+    file metadata and serves both the check and the join.
+    """
+    stored = materialize(df)
+    return F.broadcast(stored) if rows_up_to(stored, limit) else stored
 
 
 def attach(
