@@ -60,11 +60,13 @@ class Study:
         self.scaled = sim.scaled_features(df, FEATURES, list(keep))
 
     def distances(self):
-        pairs = sim.pair_counts(sim.feature_counts(self.scaled, FEATURES), ANCHORS)
-        return runtime.materialize(sim.wasserstein(pairs))
+        counts = runtime.materialize(sim.feature_counts(self.scaled, FEATURES))
+        pairs = sim.pair_counts(counts, ANCHORS)
+        return runtime.materialize(sim.wasserstein(pairs, largest=sim.pair_bound(counts)))
 
     def tests(self):
-        return sim.mann_whitney(sim.pair_counts(sim.feature_counts(self.df, FEATURES), ANCHORS))
+        counts = runtime.materialize(sim.feature_counts(self.df, FEATURES))
+        return sim.mann_whitney(sim.pair_counts(counts, ANCHORS), largest=sim.pair_bound(counts))
 
     def assigned(self, distances):
         return sim.assignment(distances, self.sizes)

@@ -87,7 +87,7 @@ def blocks(
 ) -> Blocks:
     """Prepare ``df`` for row frames of up to ``halo`` rows within ``by``.
 
-    ``largest`` is the size of the biggest group where the caller knows it.
+    ``largest`` bounds the biggest group where the caller knows it.
     ``index`` adds ``_idx``, the 0-based position within the group.
     """
     limit = runtime.GROUP_ROWS if limit is None else limit
@@ -125,14 +125,16 @@ def running_total(
     order: list[str],
     values: dict[str, Column],
     limit: int | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """Inclusive running sums of ``values`` within ``by`` in ``order``.
 
     ``values`` maps output names to expressions. ``by + order`` must be unique.
+    ``largest`` bounds the biggest group where the caller knows it.
     """
     limit = runtime.GROUP_ROWS if limit is None else limit
     upto = Window.unboundedPreceding, Window.currentRow
-    if runtime.largest_group(df, by) <= limit:
+    if (runtime.largest_group(df, by) if largest is None else largest) <= limit:
         w = Window.partitionBy(*by).orderBy(*order).rowsBetween(*upto)
         return df.withColumns({k: F.sum(v).over(w) for k, v in values.items()})
     cut = positioned(df, by + order).withColumn(BLOCK, F.floor(F.col(POS) / limit).cast("long"))

@@ -82,12 +82,20 @@ def pair_counts(counts: DataFrame, anchors: list[str], by: list[str] | None = No
     return both.groupBy(*keys).agg(F.sum("c1").alias("c1"), F.sum("c2").alias("c2"))
 
 
-def wasserstein(pairs: DataFrame, by: list[str] | None = None, limit: int | None = None) -> DataFrame:
+def pair_bound(counts: DataFrame, by: list[str] | None = None) -> int:
+    """Most values a pair can have in one feature: both sides at their largest."""
+    return 2 * runtime.largest_group(counts, [*(by or []), "variedad", "variable"])
+
+
+def wasserstein(
+    pairs: DataFrame, by: list[str] | None = None, limit: int | None = None, largest: int | None = None
+) -> DataFrame:
     """Mean Wasserstein-1 distance over the features, per pair."""
     keys = [*(by or []), "variedad", "ancla", "variable"]
+    largest = runtime.largest_group(pairs, keys) if largest is None else largest
     totals = pairs.groupBy(*keys).agg(F.sum("c1").alias("n1"), F.sum("c2").alias("n2"))
-    cum = running_total(pairs, keys, ["value"], {"f1": F.col("c1"), "f2": F.col("c2")}, limit)
-    b = blocks(cum, keys, ["value"], 1, limit, largest=runtime.largest_group(pairs, keys))
+    cum = running_total(pairs, keys, ["value"], {"f1": F.col("c1"), "f2": F.col("c2")}, limit, largest)
+    b = blocks(cum, keys, ["value"], 1, limit, largest=largest)
     w = b.window()
     steps = b.finish(
         b.df.withColumns({"p1": F.lag("f1").over(w), "p2": F.lag("f2").over(w), "gap": F.col("value") - F.lag("value").over(w)})
@@ -115,11 +123,11 @@ def assignment(distances: DataFrame, sizes: DataFrame) -> DataFrame:
     return out.withColumns({c: F.round(c, 4) for c in ("distancia_wass", "dist_segunda")})
 
 
-def mann_whitney(pairs: DataFrame, limit: int | None = None) -> DataFrame:
+def mann_whitney(pairs: DataFrame, limit: int | None = None, largest: int | None = None) -> DataFrame:
     """U, tie-corrected z with continuity and asymptotic p, per pair and feature."""
     keys = ["variedad", "ancla", "variable"]
     rows = pairs.withColumn("t", F.col("c1") + F.col("c2"))
-    cum = running_total(rows, keys, ["value"], {"hi": F.col("t")}, limit)
+    cum = running_total(rows, keys, ["value"], {"hi": F.col("t")}, limit, largest)
     rank = F.col("hi") - (F.col("t") - 1) / 2
     t = F.col("t").cast("double")
     agg = cum.groupBy(*keys).agg(
@@ -311,8 +319,9 @@ def bootstrap_stability(
     rows = rows.withColumn("w", poisson_weight(u)).where("w > 0")
     fixed = feature_counts(scaled.where(is_anchor), features)  # anchors are not resampled
     counts = feature_counts(rows, features, ["rep"], "w").unionByName(fixed.select("*", reps))
-    pairs = runtime.materialize(pair_counts(counts, anchors, ["rep"]))
-    near = nearest_anchors(wasserstein(pairs, ["rep"]), ["rep"])
+    counts = runtime.materialize(counts)
+    pairs = pair_counts(counts, anchors, ["rep"])
+    near = nearest_anchors(wasserstein(pairs, ["rep"], largest=pair_bound(counts, ["rep"])), ["rep"])
     votes = near.groupBy("variedad", F.col("ancla_asignada").alias("ancla")).agg(F.count("*").alias("v"))
     rows = runtime.attach(votes, assigned.select("variedad", "ancla_asignada"), ["variedad"])
     own = F.col("ancla") == F.col("ancla_asignada")

@@ -78,7 +78,13 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 def attach(
     left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", check: bool = False
 ) -> DataFrame:
-    """Join on ``keys`` treating nulls as equal and keep one copy of the keys."""
+    """Join on ``keys`` treating nulls as equal and keep one copy of the keys.
+
+    Without keys ``right`` is a single row, read as a scalar subquery.
+    """
+    if not keys and how == "left":
+        row = right.select(F.struct(*right.columns)).scalar()
+        return left.select("*", row.alias("__row")).select(*left.columns, "__row.*")
     if check:
         right = small(right)
     renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
