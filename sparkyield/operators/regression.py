@@ -37,9 +37,9 @@ def ols(df: DataFrame, by: list[str], y: str, xs: list[str]) -> DataFrame:
     sums = [F.sum(z[i] * z[j]) for i in range(len(z)) for j in range(i, len(z))]
     agg = rows.groupBy(*by).agg(
         F.count("*").alias("n"),
-        F.array(*sums).alias("g"),
-        F.array(*[F.max(f"_m{i}") for i in range(len(cols))]).alias("m"),
-        F.array(*[F.max(f"_s{i}") for i in range(len(cols))]).alias("s"),
+        F.array(*sums).alias("_gram"),
+        F.array(*[F.max(f"_m{i}") for i in range(len(cols))]).alias("_mean"),
+        F.array(*[F.max(f"_s{i}") for i in range(len(cols))]).alias("_scale"),
     )
 
     def solve(batches):
@@ -48,11 +48,11 @@ def ols(df: DataFrame, by: list[str], y: str, xs: list[str]) -> DataFrame:
             for r in pdf.to_dict("records"):
                 k = len(cols)
                 g = np.zeros((k, k))
-                g[np.triu_indices(k)] = r["g"]
+                g[np.triu_indices(k)] = r["_gram"]
                 g = g + np.triu(g, 1).T
                 beta = np.linalg.pinv(g[1:, 1:]) @ g[1:, 0]
                 r2 = float(beta @ g[1:, 0] / g[0, 0]) if g[0, 0] > 0 else 0.0
-                m, s = np.asarray(r["m"]), np.asarray(r["s"])
+                m, s = np.asarray(r["_mean"]), np.asarray(r["_scale"])
                 coef = beta * s[0] / s[1:]
                 out.append({**{q: r[q] for q in by}, "n": r["n"], "coef": [float(m[0] - coef @ m[1:]), *map(float, coef)], "r2": r2})
             yield pd.DataFrame(out, columns=[*by, "n", "coef", "r2"])
