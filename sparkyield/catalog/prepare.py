@@ -321,10 +321,13 @@ def log_target(df):
     return out.select(*KEY, "y_log", cut("y_back", 4))
 
 
-STRAT = """n1 AS (SELECT *, count(*) OVER (PARTITION BY variedad, fundo, formato) AS c1, count(*) OVER (PARTITION BY variedad, fundo) AS c2 FROM harvest),
-l1 AS (SELECT *, CASE WHEN c1 < {m} THEN 'RARE' ELSE fundo || '_' || formato END AS a, CASE WHEN c2 < {m} THEN 'RARE' ELSE fundo END AS b FROM n1),
-ok AS (SELECT variedad, count(*) AS k, min(n) AS least_n FROM (SELECT variedad, a, count(*) AS n FROM l1 GROUP BY 1, 2) GROUP BY 1),
-lab AS (SELECT l1.*, CASE WHEN k >= 2 AND least_n >= {m} THEN a ELSE b END AS label, CASE WHEN k >= 2 AND least_n >= {m} THEN 'fundo_formato' ELSE 'fundo' END AS strategy FROM l1 JOIN ok USING (variedad))"""
+STRAT = """n1 AS (SELECT *, count(*) OVER (PARTITION BY variedad, fundo, formato) AS c1, count(*) OVER (PARTITION BY variedad, fundo) AS c2, count(*) OVER (PARTITION BY variedad, formato) AS c3 FROM harvest),
+l1 AS (SELECT *, CASE WHEN c1 < {m} THEN 'RARE' ELSE fundo || '_' || formato END AS a, CASE WHEN c2 < {m} THEN 'RARE' ELSE fundo END AS b, CASE WHEN c3 < {m} THEN 'RARE' ELSE formato END AS c FROM n1),
+o1 AS (SELECT variedad, count(*) >= 2 AND min(n) >= {m} AS ok1 FROM (SELECT variedad, a, count(*) AS n FROM l1 GROUP BY 1, 2) GROUP BY 1),
+o2 AS (SELECT variedad, count(*) >= 2 AND min(n) >= {m} AS ok2 FROM (SELECT variedad, b, count(*) AS n FROM l1 GROUP BY 1, 2) GROUP BY 1),
+o3 AS (SELECT variedad, count(*) >= 2 AND min(n) >= {m} AS ok3 FROM (SELECT variedad, c, count(*) AS n FROM l1 GROUP BY 1, 2) GROUP BY 1),
+lab AS (SELECT l1.*, CASE WHEN ok1 THEN a WHEN ok2 THEN b WHEN ok3 THEN c END AS label, CASE WHEN ok1 THEN 'fundo_formato' WHEN ok2 THEN 'fundo' WHEN ok3 THEN 'formato' ELSE 'none' END AS strategy
+ FROM l1 JOIN o1 USING (variedad) JOIN o2 USING (variedad) JOIN o3 USING (variedad))"""
 
 
 @query("M3", "harvest", f"{STRAT.format(m=150)} SELECT DISTINCT variedad, fundo, formato, strategy, label FROM lab")

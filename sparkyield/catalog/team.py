@@ -76,7 +76,8 @@ ga AS (SELECT fecha, fundo, formato, count(*) AS n_grupos, avg(size) AS size_avg
   avg(CASE WHEN mu > 0 THEN sd / mu END) AS cv, avg(sd_h) AS h_std FROM gs GROUP BY 1, 2, 3)"""
 
 
-@query("T1", "person_day")
+@query("T1", "person_day", """SELECT count(*) AS n_rows, count(DISTINCT worker_id) AS n_workers, true AS has_format, true AS has_group, true AS has_supervisor, true AS has_seasons,
+true AS has_hours, true AS has_rate FROM person_day""")
 def required_and_capabilities(df):
     caps = team.capabilities(df, ["worker_id", "fecha", "fundo"])
     flags = ["has_format", "has_group", "has_supervisor", "has_seasons", "has_hours", "has_rate"]
