@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from sparkyield.llm import simhash
+import public_tokenizers
+
+from sparkyield.llm import bpe, quality, simhash
 from sparkyield.llm.common import documents
 
 QUERIES: dict = {}
@@ -19,6 +21,22 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def byte_bpe() -> str:
+    """Place of the vocabulary file on this machine."""
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op2_bpe")
+def op2_bpe(spark, sf_dir):
+    return bpe.digests(documents(spark, sf_dir), byte_bpe())
+
+
 @query("op5_simhash")
 def op5_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op7_quality_rules")
+def op7_quality_rules(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text", "source")
+    return quality.apply_rules(docs).drop("text", "source")
