@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from sparkyield.llm import bpe, quality, simhash
+from sparkyield.llm import bpe, quality, sharding, simhash
 from sparkyield.llm.common import documents
 
 QUERIES: dict = {}
@@ -26,6 +26,14 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+SHARDS = 24
+
+
+@query("op1_sharding")
+def op1_sharding(spark, sf_dir):
+    return sharding.shard_table(documents(spark, sf_dir), SHARDS)
+
+
 @query("op2_bpe")
 def op2_bpe(spark, sf_dir):
     return bpe.digests(documents(spark, sf_dir), byte_bpe())
