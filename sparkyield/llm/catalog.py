@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from sparkyield.llm import bpe, quality, sharding, simhash
-from sparkyield.llm.common import documents
+from sparkyield.llm import bpe, decontaminate, quality, sharding, simhash
+from sparkyield.llm.common import benchmark, documents
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -39,6 +39,11 @@ def op2_bpe(spark, sf_dir):
     return bpe.digests(documents(spark, sf_dir), byte_bpe())
 
 
+@query("op3_decontamination")
+def op3_decontamination(spark, sf_dir):
+    return decontaminate.contaminations(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
 @query("op5_simhash")
 def op5_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir))
