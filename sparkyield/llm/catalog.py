@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from sparkyield.llm import bpe, decontaminate, quality, sharding, simhash
+from sparkyield.llm import bpe, decontaminate, lines, quality, sharding, simhash
 from sparkyield.llm.common import benchmark, documents
 
 QUERIES: dict = {}
@@ -44,6 +44,11 @@ def op3_decontamination(spark, sf_dir):
     return decontaminate.contaminations(documents(spark, sf_dir), benchmark(spark, sf_dir))
 
 
+@query("op4_line_dedup")
+def op4_line_dedup(spark, sf_dir):
+    return lines.summary(documents(spark, sf_dir))
+
+
 @query("op5_simhash")
 def op5_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir))
