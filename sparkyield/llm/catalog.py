@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from sparkyield.llm import bpe, decontaminate, lines, quality, sharding, simhash
-from sparkyield.llm.common import benchmark, documents
+from sparkyield.llm import bpe, classify, decontaminate, lines, packing, quality, sharding, simhash
+from sparkyield.llm.common import benchmark, documents, labels
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -54,7 +54,18 @@ def op5_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+@query("op6_packing")
+def op6_packing(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return packing.digests(documents(spark, sf_dir), path)
+
+
 @query("op7_quality_rules")
 def op7_quality_rules(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text", "source")
     return quality.apply_rules(docs).drop("text", "source")
+
+
+@query("op8_quality_ranking")
+def op8_quality_ranking(spark, sf_dir):
+    return classify.rank(documents(spark, sf_dir), labels(spark, sf_dir))

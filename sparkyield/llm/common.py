@@ -19,6 +19,10 @@ def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def texts(column: pa.Array | pa.ChunkedArray) -> Iterator[str]:
     """The texts of an Arrow column one at a time, null as the empty text."""
     for value in column:
