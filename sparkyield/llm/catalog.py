@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from sparkyield.llm import bpe, classify, decontaminate, lines, packing, quality, sharding, simhash
+from sparkyield.llm import bpe, classify, decontaminate, lines, packing, quality, repeats, sharding, simhash
 from sparkyield.llm.common import benchmark, documents, labels
 
 QUERIES: dict = {}
@@ -69,3 +69,8 @@ def op7_quality_rules(spark, sf_dir):
 @query("op8_quality_ranking")
 def op8_quality_ranking(spark, sf_dir):
     return classify.rank(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@query("op10_repeated_bytes")
+def op10_repeated_bytes(spark, sf_dir):
+    return repeats.digests(documents(spark, sf_dir))
