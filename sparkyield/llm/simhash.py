@@ -256,3 +256,35 @@ def near_duplicates(
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
     )
+
+
+def deduplicate(
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", limit: int = LIMIT
+) -> DataFrame:
+    """One row of each group of near duplicates, all columns as they are.
+
+    It is the one with the smallest id, a null id coming last; of several rows with it
+    the one with the smallest text hash, and of equal rows one.
+    """
+    value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    key = F.struct(
+        F.col(f"`{id_col}`").isNull().alias("none"),
+        F.col(f"`{id_col}`").alias("id"),
+        F.xxhash64(value).alias("body"),
+    )
+    narrow = docs.select(key.alias("key"), F.col(f"`{text}`").alias("text"))
+    marks = checkpointed(fingerprints(narrow, "text", "key"))
+    first = checkpointed(marks.groupBy("fp").agg(F.min("key").alias("first")))
+    roots = components(checkpointed(links(first, limit).distinct()))
+    group = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    kept = group.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    kept = kept.select("first.id", "first.body")
+    row = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(f"`{id_col}`").alias("id"),
+        F.xxhash64(value).alias("body"),
+    ).alias("l")
+    found = row.join(kept.alias("r"), F.expr("l.body = r.body and l.id <=> r.id"), "left_semi")
+    # rows equal in id and text are told apart only where there are some
+    unique = marks.groupBy("key").count().where("count > 1").isEmpty()
+    return (found if unique else found.dropDuplicates(["id", "body"])).select("row.*")
