@@ -2,14 +2,17 @@
 
 Every string of ``window`` bytes goes to the shard that its minimizer decides (the
 smallest hash of its short substrings), so equal strings meet. Neighbouring strings
-with one minimizer travel together as a segment. A shard puts the suffixes of its
-segments in order by induced sorting (see ``induced``); in that order equal strings lie
-side by side, and all but those of the smallest document are marked.
+with one minimizer travel together as a segment. First only the minimizers are counted
+over all documents; segments travel where another document has the minimizer too. A
+shard puts the suffixes of its segments in order by induced sorting (see ``induced``);
+in that order equal strings lie side by side, and all but those of the smallest
+document are marked.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,9 +26,11 @@ from sparkyield.llm.induced import suffix_order
 
 WINDOW = 50
 #: bytes of the substrings whose hashes are compared
-GRAM = 16
+GRAM = 32
 #: bytes of one text that are looked at together
 CHUNK = 1 << 20
+#: minimizers that a task gathers before it sends them on
+ENTRIES = 1_000_000
 #: bytes of segments that a task gathers before it sends them on
 GATHER = 24 << 20
 #: bytes of segments that a shard sorts at once
@@ -82,10 +87,18 @@ class Gathered:
         self.rows: list[list[tuple]] = [[] for _ in range(self.shards)]
         self.marks: list[tuple[int, int, int, int]] = []
 
-    def add(self, doc: int, body: int, data: bytes):
-        """Take in a document. A segment that a smaller one here holds is marked at once."""
+    def add(self, doc: int, body: int, data: bytes, wanted: np.ndarray | None = None):
+        """Take in a document, all its segments or those with the numbers ``wanted``.
+
+        A segment that a smaller one here holds is marked at once.
+        """
         seen, rows, marks = self.seen, self.rows, self.marks
+        number = 0
         for first, last, key in segments(data):
+            if wanted is not None:
+                here = wanted[(wanted >= number) & (wanted < number + len(key))] - number
+                number += len(key)
+                first, last, key = first[here], last[here], key[here]
             to = (key % np.uint64(self.shards)).tolist()
             for a, b, k, s in zip(first.tolist(), last.tolist(), key.tolist(), to):
                 segment = data[a:b]
@@ -294,20 +307,178 @@ def _by_windows(rows: dict[str, np.ndarray], window: int, limit: int) -> Iterato
             yield _sorted_marks(part, window)
 
 
-def _sent(id_col: str, shards: int):
+def _mixed(key: np.ndarray, doc: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For sorted keys: rows whose key several documents have, and the first row of each key.
+
+    ``known`` are rows that stand for several documents already.
+    """
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    several = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
+    several |= np.logical_or.reduceat(known, first)
+    return np.repeat(several, np.diff(np.r_[first, len(key)])), first
+
+
+def _pack(columns: list[np.ndarray]) -> bytes:
+    head = np.array([len(columns[0])], np.int64).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(c.tobytes() for c in columns))
+
+
+def _open(blob: bytes, kinds: list) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    n, at, out = int(np.frombuffer(raw, np.int64, 1)[0]), 8, []
+    for kind in kinds:
+        out.append(np.frombuffer(raw, kind, n, at))
+        at += n * np.dtype(kind).itemsize
+    return out
+
+
+#: of minimizers: the high half of the hash, document (differences), number, several
+_ENTRY = [np.uint32, np.int64, np.uint32, np.bool_]
+#: of wanted segments: document (differences), number
+_WANTED = [np.int64, np.uint32]
+
+
+def _wanted_blobs(doc: np.ndarray, number: np.ndarray, shards: int):
+    """Numbers of wanted segments, to the shards of their documents (after the others)."""
+    if not len(doc):
+        return
+    to = (doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(shards)
+    order = np.lexsort((number, doc, to))
+    to, doc, number = to[order], doc[order], number[order]
+    cuts = np.flatnonzero(np.r_[True, to[1:] != to[:-1], True])
+    for a, b in zip(cuts, cuts[1:]):
+        blob = _pack([np.diff(doc[a:b], prepend=0), number[a:b].astype(np.uint32)])
+        yield int(to[a]) + shards, blob
+
+
+def _entries(shards: int):
+    """Minimizers of the documents to their shards (0 to ``shards`` - 1).
+
+    Where a task has a minimizer in several documents, all but one row stay here: they
+    are wanted at once, and the one that goes on says so.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = [[], [], []]
+
+        def flush():
+            if not held[0]:
+                return
+            key, doc, number = (np.concatenate(c) for c in held)
+            for c in held:
+                c.clear()
+            order = np.argsort(key, kind="stable")
+            key, doc, number = key[order], doc[order], number[order]
+            several, first = _mixed(key, doc, np.zeros(len(key), bool))
+            for shard, blob in _wanted_blobs(doc[several], number[several], shards):
+                yield shard, blob
+            going = ~several
+            going[first] = True
+            key, doc, number, several = key[going], doc[going], number[going], several[going]
+            to = (key & np.uint64(0xFFFFFFFF)) % np.uint64(shards)
+            order = np.lexsort((number, doc, to))
+            cuts = np.flatnonzero(np.r_[True, np.diff(to[order]) != 0, True])
+            for a, b in zip(cuts, cuts[1:]):
+                at = order[a:b]
+                high = (key[at] >> np.uint64(32)).astype(np.uint32)
+                columns = [high, np.diff(doc[at], prepend=0), number[at].astype(np.uint32), several[at]]
+                yield int(to[at[0]]), _pack(columns)
+
+        def out():
+            rows = list(flush())
+            return pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
+                ["shard", "blob"],
+            )
+
+        count = 0
+        for batch in batches:
+            for doc, value in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
+                number = 0
+                for _, _, key in segments(value.encode("utf-8", "replace")):
+                    held[0].append(key)
+                    held[1].append(np.full(len(key), doc, np.int64))
+                    held[2].append(np.arange(number, number + len(key)))
+                    number += len(key)
+                count += number
+                if count > ENTRIES:
+                    yield out()
+                    count = 0
+        yield out()
+
+    return scan
+
+
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[bytes]]]:
+    """The blobs of each shard; the rows are sorted by shard."""
+    rows = ((s, b) for x in batches for s, b in zip(x.column(0).to_pylist(), x.column(1)))
+    for shard, group in itertools.groupby(rows, key=lambda r: r[0]):
+        yield shard, (b.as_py() for _, b in group)
+
+
+def _counted(shards: int):
+    """Which minimizers are wanted; what is wanted already passes on to its document."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, blobs in _by_shard(batches):
+            if shard >= shards:
+                for blob in blobs:
+                    yield pa.RecordBatch.from_pydict(
+                        {"shard": pa.array([shard], pa.int64()), "blob": pa.array([blob], pa.binary())}
+                    )
+                continue
+            parts = [_open(b, _ENTRY) for b in blobs]
+            key, number, several = (np.concatenate([p[i] for p in parts]) for i in (0, 2, 3))
+            doc = np.concatenate([np.cumsum(p[1]) for p in parts])
+            order = np.argsort(key, kind="stable")
+            key, doc, number, several = key[order], doc[order], number[order], several[order]
+            chosen = _mixed(key, doc, several)[0] & ~several
+            rows = list(_wanted_blobs(doc[chosen], number[chosen], shards))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
+                ["shard", "blob"],
+            )
+
+    return scan
+
+
+def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each document with the numbers of its wanted segments."""
+    for _, blobs in _by_shard(batches):
+        held, size, limit = [], 0, 4_000_000
+        for blob in blobs:
+            doc, number = _open(blob, _WANTED)
+            held.append(np.stack([np.cumsum(doc), number.astype(np.int64)], axis=1))
+            size += len(doc)
+            if size > limit:  # the same numbers again where an id is repeated
+                held = [np.unique(np.concatenate(held), axis=0)]
+                size, limit = len(held[0]), max(limit, 2 * len(held[0]))
+        rows = np.concatenate(held)
+        rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+        cuts = np.flatnonzero(np.r_[True, np.diff(rows[:, 0]) != 0, True])
+        blobs = [rows[a:b, 1].astype("<u4").tobytes() for a, b in zip(cuts, cuts[1:])]
+        for at in range(0, len(blobs), 2000):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows[cuts[at : at + 2000][: len(blobs[at : at + 2000])], 0]), pa.array(blobs[at : at + 2000], pa.binary())],
+                ["doc", "numbers"],
+            )
+
+
+def _sent(shards: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered = Gathered(shards)
 
         def flush():
             for shard, blob in gathered.blobs():
                 yield pa.RecordBatch.from_pydict(
-                    {"shard": pa.array([shard], pa.int32()), "blob": pa.array([blob], pa.binary())}
+                    {"shard": pa.array([shard], pa.int64()), "blob": pa.array([blob], pa.binary())}
                 )
 
         for batch in batches:
             ids, bodies = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for doc, body, value in zip(ids, bodies, texts(batch.column(2))):
-                gathered.add(NO_ID if doc is None else doc, body, value.encode("utf-8", "replace"))
+            for doc, body, value, numbers in zip(ids, bodies, texts(batch.column(2)), batch.column(3)):
+                wanted = np.unique(np.frombuffer(numbers.as_py(), "<u4")).astype(np.int64)
+                gathered.add(doc, body, value.encode("utf-8", "replace"), wanted)
                 if gathered.size > GATHER:
                     yield from flush()
         yield from flush()
@@ -332,38 +503,51 @@ def _marked(window: int):
                 if len(marks):
                     yield out(marks)
 
-        shard, parts = None, []
-        for batch in batches:
-            for s, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if s != shard:
-                    yield from finish(parts)
-                    shard = s
-                rows, marks = unpack(blob.as_py())
+        for _, blobs in _by_shard(batches):
+            parts = []
+            for blob in blobs:
+                rows, marks = unpack(blob)
                 if len(marks):
                     yield out(marks)
                 parts.append(rows)
-        yield from finish(parts)
+            yield from finish(parts)
 
     return scan
 
 
-def repeated_spans(
-    docs: DataFrame, text: str = "text", id_col: str = "doc_id", window: int = WINDOW, shards: int | None = None
-) -> DataFrame:
+def _prepared(docs: DataFrame, text: str, id_col: str, carry: list[str]) -> DataFrame:
+    value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    return docs.select(
+        *[F.col(f"`{c}`").alias(f"d{i}") for i, c in enumerate(carry)],
+        F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("doc"),
+        F.xxhash64(value).alias("body"),
+        value.alias("value"),
+    )
+
+
+def repeated_spans(rows: DataFrame, window: int = WINDOW, shards: int | None = None) -> DataFrame:
     """``(doc, body, start, stop)``: byte ranges of a document that a smaller one holds.
 
-    ``body`` is the hash of the text and ``doc`` the id, ``NO_ID`` for null. The ranges
-    may overlap. Documents are split into segments where they are read; equal segments
-    are sent on once for each batch and never form a large group.
+    ``rows`` has ``doc``, ``body``, the hash of the text, and ``value``, the text. The
+    ranges may overlap. Each step hands a bounded amount to a task: rows for one
+    minimizer or one segment that a task has from several documents are sent on once.
     """
+    if window != WINDOW:
+        raise ValueError("the length of the substrings is chosen for the standard window")
     if shards is None:
-        total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+        total = rows.agg(F.sum(F.octet_length("value"))).first()[0] or 0
         shards = max(8, -(-total // SHARD_BYTES))
-    value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    rows = docs.select(F.col(f"`{id_col}`").cast("long"), F.xxhash64(value), value)
-    sent = rows.mapInArrow(_sent(id_col, shards), "shard int, blob binary")
-    placed = sent.repartition(shards, "shard").sortWithinPartitions("shard")
-    return placed.mapInArrow(_marked(window), "doc bigint, body bigint, start bigint, stop bigint")
+    kind = "shard bigint, blob binary"
+
+    def dealt(df):
+        return df.repartition(shards, "shard").sortWithinPartitions("shard")
+
+    entries = dealt(rows.select("doc", "value").mapInArrow(_entries(shards), kind))
+    wanted = dealt(entries.mapInArrow(_counted(shards), kind))
+    numbers = wanted.mapInArrow(_numbers, "doc bigint, numbers binary")
+    chosen = rows.join(numbers, "doc").select("doc", "body", "value", "numbers")
+    segments_ = dealt(chosen.mapInArrow(_sent(shards), kind))
+    return segments_.mapInArrow(_marked(window), "doc bigint, body bigint, start bigint, stop bigint")
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -387,38 +571,40 @@ def cut(data: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(out)
 
 
-def _with_spans(docs: DataFrame, text: str, id_col: str, window: int, shards: int | None, carry: list[str]):
-    spans = repeated_spans(docs, text, id_col, window, shards)
-    grouped = spans.groupBy("doc", "body").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
-    value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    left = docs.select(
-        *[F.col(f"`{c}`").alias(f"d{i}") for i, c in enumerate(carry)],
-        value.alias("value"),
-        F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("doc"),
-        F.xxhash64(value).alias("body"),
-    )
-    return left.join(grouped, ["doc", "body"], "left").drop("doc", "body")
+def _with_spans(docs: DataFrame, text: str, id_col: str, shards: int | None, carry: list[str]):
+    """The columns ``carry`` as d0, d1 ... and ``value``, ``body`` and ``spans`` of each row.
+
+    Both joins are on the id, so the documents are shuffled once for the two.
+    """
+    rows = _prepared(docs, text, id_col, carry)
+    spans = repeated_spans(rows, WINDOW, shards)
+    grouped = spans.groupBy("doc").agg(F.collect_set(F.struct("body", "start", "stop")).alias("spans"))
+    return rows.join(grouped, "doc", "left").drop("doc")
+
+
+def _of_body(spans: pa.Scalar, body: int) -> list[tuple[int, int]]:
+    return merged([(s["start"], s["stop"]) for s in spans.as_py() or () if s["body"] == body])
 
 
 def digests(
-    docs: DataFrame, text: str = "text", id_col: str = "doc_id", window: int = WINDOW, shards: int | None = None
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", shards: int | None = None
 ) -> DataFrame:
     """Per document what is removed and a digest of the rest.
 
-    A byte goes if a string of ``window`` bytes covers it that also starts in a document
+    A byte goes if a string of ``WINDOW`` bytes covers it that also starts in a document
     with a smaller id. ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed ranges)
-    and ``kept_sha256``. Null texts count as empty; texts shorter than ``window`` stay
+    and ``kept_sha256``. Null texts count as empty; texts shorter than that stay
     whole. A null id is later than any other; rows with the same id never remove from
     each other, and rows repeated with id and text get the same result.
     """
-    joined = _with_spans(docs, text, id_col, window, shards, [id_col])
+    joined = _with_spans(docs, text, id_col, shards, [id_col])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for value, spans in zip(texts(batch.column(1)), batch.column(2)):
+            for body, value, spans in zip(batch.column(1).to_pylist(), texts(batch.column(2)), batch.column(3)):
                 data = value.encode("utf-8", "replace")
-                found = merged([(s["start"], s["stop"]) for s in spans.as_py() or ()])
+                found = _of_body(spans, body)
                 rest = cut(data, found)
                 out.append((len(data), len(data) - len(rest), len(found), hashlib.sha256(rest).hexdigest()))
             columns = list(zip(*out)) if out else [(), (), (), ()]
@@ -434,24 +620,23 @@ def digests(
 
 
 def remove(
-    docs: DataFrame, text: str = "text", id_col: str = "doc_id", window: int = WINDOW, shards: int | None = None
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", shards: int | None = None
 ) -> DataFrame:
     """``docs`` with the repeated bytes removed from their texts; broken characters too."""
     columns = docs.columns
-    at = columns.index(text)
-    joined = _with_spans(docs, text, id_col, window, shards, columns)
-    names = [f"d{i}" for i in range(len(columns))]
+    at, n = columns.index(text), len(columns)
+    joined = _with_spans(docs, text, id_col, shards, columns)
+    names = [f"d{i}" for i in range(n)]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             new = []
-            for value, spans in zip(batch.column(at), batch.column(len(columns) + 1)):
-                plain, spans = value.as_py(), spans.as_py()
-                if spans:
-                    rest = cut(plain.encode("utf-8", "replace"), merged([(s["start"], s["stop"]) for s in spans]))
-                    plain = rest.decode("utf-8", "ignore")
+            for plain, body, spans in zip(batch.column(at), batch.column(n).to_pylist(), batch.column(n + 2)):
+                plain, found = plain.as_py(), _of_body(spans, body)
+                if found:
+                    plain = cut(plain.encode("utf-8", "replace"), found).decode("utf-8", "ignore")
                 new.append(plain)
-            given = list(batch.columns[: len(columns)])
+            given = list(batch.columns[:n])
             given[at] = pa.array(new, given[at].type)
             yield pa.RecordBatch.from_arrays(given, names)
 
