@@ -572,14 +572,16 @@ def cut(data: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def _with_spans(docs: DataFrame, text: str, id_col: str, shards: int | None, carry: list[str]):
-    """The columns ``carry`` as d0, d1 ... and ``value``, ``body`` and ``spans`` of each row.
+    """The columns ``carry`` as d0, d1 ..., then ``doc, body, value, spans`` of each row.
 
-    Both joins are on the id, so the documents are shuffled once for the two.
+    Both joins are on the id: with nothing to carry, one shuffle of the documents serves
+    the two.
     """
     rows = _prepared(docs, text, id_col, carry)
     spans = repeated_spans(rows, WINDOW, shards)
     grouped = spans.groupBy("doc").agg(F.collect_set(F.struct("body", "start", "stop")).alias("spans"))
-    return rows.join(grouped, "doc", "left").drop("doc")
+    names = [f"d{i}" for i in range(len(carry))]
+    return rows.join(grouped, "doc", "left").select(*names, "doc", "body", "value", "spans")
 
 
 def _of_body(spans: pa.Scalar, body: int) -> list[tuple[int, int]]:
@@ -597,7 +599,7 @@ def digests(
     whole. A null id is later than any other; rows with the same id never remove from
     each other, and rows repeated with id and text get the same result.
     """
-    joined = _with_spans(docs, text, id_col, shards, [id_col])
+    joined = _with_spans(docs, text, id_col, shards, [])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -611,12 +613,12 @@ def digests(
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0)] + [pa.array(c, k) for c, k in zip(columns, kinds)],
-                ["d0", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+                ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"d0 {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    return joined.mapInArrow(scan, schema).withColumnRenamed("d0", id_col)
+    schema = "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+    name = F.when(F.col("doc") != NO_ID, F.col("doc")).cast(docs.schema[id_col].dataType)
+    return joined.mapInArrow(scan, schema).select(name.alias(id_col), F.col("*")).drop("doc")
 
 
 def remove(
@@ -631,7 +633,7 @@ def remove(
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             new = []
-            for plain, body, spans in zip(batch.column(at), batch.column(n).to_pylist(), batch.column(n + 2)):
+            for plain, body, spans in zip(batch.column(at), batch.column(n + 1).to_pylist(), batch.column(n + 3)):
                 plain, found = plain.as_py(), _of_body(spans, body)
                 if found:
                     plain = cut(plain.encode("utf-8", "replace"), found).decode("utf-8", "ignore")
