@@ -4,7 +4,18 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from sparkyield.llm import bpe, classify, decontaminate, lines, packing, quality, repeats, sharding, simhash
+from sparkyield.llm import (
+    bpe,
+    classify,
+    decontaminate,
+    licenses,
+    lines,
+    packing,
+    quality,
+    repeats,
+    sharding,
+    simhash,
+)
 from sparkyield.llm.common import benchmark, documents, labels
 
 QUERIES: dict = {}
@@ -74,3 +85,8 @@ def op8_quality_ranking(spark, sf_dir):
 @query("op10_repeated_bytes")
 def op10_repeated_bytes(spark, sf_dir):
     return repeats.digests(documents(spark, sf_dir))
+
+
+@query("op9_license_scan")
+def op9_license_scan(spark, sf_dir):
+    return licenses.scan(documents(spark, sf_dir))
