@@ -189,7 +189,7 @@ def permanova(df):
 def k_sweep(df):
     from sparkyield.plans.training import k_sweep
 
-    return k_sweep(Study(df).scaled, FEATURES, range(3, 6), current=len(ANCHORS))
+    return k_sweep(Study(df).scaled, FEATURES, range(3, 16), current=len(ANCHORS))
 
 
 REPLICATES = 10

@@ -110,12 +110,12 @@ def rate(df):
     return team.person_rate(df).select(*KEY, "kgh")
 
 
-@query("T5", "person_day", f"""{P}, {HIST} SELECT {KEYS}, round(havg, 6) AS hist_avg, round(hstd, 3) AS hist_std FROM h2""")
+@query("T5", "person_day", f"""{P}, {HIST} SELECT {KEYS}, round(havg, 6) AS hist_avg, round(hstd, 6) AS hist_std FROM h2""")
 def history_30d(df):
     return _history(df, "history").select(
         *KEY,
         F.col("kg_jr_h_hist_avg_30d").alias("hist_avg"),
-        cut("kg_jr_h_hist_std_30d", 3).alias("hist_std"),
+        cut("kg_jr_h_hist_std_30d", 6).alias("hist_std"),
     )
 
 
@@ -208,7 +208,7 @@ A_SQL = """count(DISTINCT p.worker_id) AS n_cosechadores, round(avg(dia), 6) AS
  round(avg(CAST(dia < 30 AS DOUBLE)), 6) AS pct_novatos, round(avg(CAST(dia > 180 AS DOUBLE)), 6) AS pct_veteranos,
  round(avg(tenure), 6) AS tenure_lifetime_avg, round(avg(primer), 6) AS pct_primer_anio,
  round(avg(coalesce(bolsa_flag, 0)), 6) AS pct_bolsa, round(avg(havg), 6) AS kg_jr_h_hist_avg_30d,
- round(avg(hstd), 3) AS kg_jr_h_hist_std_30d, round(avg(top_h), 6) AS pct_top_hist, round(avg(bottom_h), 6) AS pct_bottom_hist,
+ round(avg(hstd), 6) AS kg_jr_h_hist_std_30d, round(avg(top_h), 6) AS pct_top_hist, round(avg(bottom_h), 6) AS pct_bottom_hist,
  round(avg(rotado), 6) AS pct_rotados_30d, round(avg(visitados), 6) AS fundos_visitados_avg_90d,
  round(avg(CAST(dia <= 14 AS DOUBLE)), 6) AS pct_nuevos_ingresos_14d, round(avg(gap), 6) AS dias_desde_ultimo_trabajo_avg,
  round(avg(cambio), 6) AS pct_cambio_grupo, round(avg(dow_kgh), 6) AS kg_jr_h_hist_dow_avg, round(avg(residual), 6) AS kg_jr_h_residual_avg,
@@ -238,7 +238,7 @@ SUPERVISION = [
 
 def _lots(df):
     out = team_features(df, KEY)
-    return out.withColumn("kg_jr_h_hist_std_30d", cut("kg_jr_h_hist_std_30d", 3))
+    return out.withColumn("kg_jr_h_hist_std_30d", cut("kg_jr_h_hist_std_30d", 6))
 
 
 @query("T19", "person_day", f"{ALL} SELECT p.fecha, p.fundo, p.formato, {A_SQL} {ROWS} GROUP BY 1, 2, 3")

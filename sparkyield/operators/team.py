@@ -68,7 +68,7 @@ def person_lot_days(df: DataFrame, key: list[str]) -> DataFrame:
         F.count("*").alias("n_rows"),
         F.count("kgh").alias("n_kgh"),
         F.sum("kgh").alias("s_kgh"),
-        F.sum(F.col("kgh") * F.col("kgh")).alias("ss_kgh"),
+        (F.var_pop("kgh") * F.count("kgh")).alias("m2_kgh"),
         F.count(hours).alias("n_hours"),
         F.sum(hours).alias("s_hours"),
         F.min(F.struct(*key)).alias("first_key"),
@@ -101,13 +101,18 @@ def person_history(lots: DataFrame, blocks: tuple[str, ...] = ("all",)) -> DataF
     same_lot = [c for c in ("fundo", "formato") if c in lots.columns]
     out = lots
     if want("history"):
-        n, s1, s2 = (F.sum(c).over(r30) for c in ("n_kgh", "s_kgh", "ss_kgh"))
+        # squares are taken around the worker's mean, so they do not cancel
+        centre = F.avg(F.col("s_kgh") / F.nullif(F.col("n_kgh"), F.lit(0))).over(Window.partitionBy("worker_id"))
+        apart = F.col("s_kgh") - F.col("n_kgh") * F.col("_centre")
+        squares = F.col("m2_kgh") + apart * apart / F.nullif(F.col("n_kgh"), F.lit(0))
+        out = out.withColumn("_centre", centre).withColumns({"_apart": apart, "_squares": squares})
+        n, s1, a1, a2 = (F.sum(c).over(r30) for c in ("n_kgh", "s_kgh", "_apart", "_squares"))
         out = out.withColumns(
             {
                 "kg_jr_h_hist_avg_30d": s1 / F.nullif(n, F.lit(0)),
-                "kg_jr_h_hist_std_30d": scalar.sample_std(n, s1, s2),
+                "kg_jr_h_hist_std_30d": scalar.sample_std(n, a1, a2),
             }
-        )
+        ).drop("_centre", "_apart", "_squares")
     if want("gap"):
         day = Window.partitionBy("worker_id", "d")
         out = out.withColumns(
@@ -172,7 +177,7 @@ def person_history(lots: DataFrame, blocks: tuple[str, ...] = ("all",)) -> DataF
 def with_history(df: DataFrame, history: DataFrame) -> DataFrame:
     """Attach the histories to the person-day rows (one shuffle of the rows)."""
     keys = ["worker_id"] + [c for c in ("fecha", "fundo", "formato") if c in df.columns]
-    sums = ["n_rows", "n_kgh", "s_kgh", "ss_kgh", "n_hours", "s_hours", "first_key"]
+    sums = ["n_rows", "n_kgh", "s_kgh", "m2_kgh", "n_hours", "s_hours", "first_key"]
     extra = [c for c in history.columns if c not in keys and c in df.columns]
     return runtime.attach(df, history.drop(*sums, "lot_group", "lot_sup", *extra), keys)
 

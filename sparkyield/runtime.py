@@ -7,7 +7,9 @@ assumption about how big a table or a group is.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -26,18 +28,20 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can read, taken from ``spark.checkpoint.dir``.
 
     A private temporary folder is made only in local mode, where driver and
-    executors are one process.
+    executors are one process; it goes with that process.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or (
         spark.sparkContext.getCheckpointDir()
     )
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="sparkyield-")
+        atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
     return _local_dirs[app]
 
 

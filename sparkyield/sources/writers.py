@@ -48,10 +48,17 @@ def drift_summary(stats: DataFrame) -> DataFrame:
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Order-insensitive content hash and row count."""
+    """Order-insensitive content hash and row count.
+
+    The hash skips nulls, so which values are null is hashed with them, and so are the
+    names and types of the columns.
+    """
+    schema = F.lit(",".join(f"{n}:{t}" for n, t in df.dtypes))
+    values = [F.col(f"`{c}`") for c in df.columns]
+    row = F.xxhash64(schema, *[x for v in values for x in (v.isNull(), v)])
     return df.agg(
-        F.bit_xor(F.xxhash64(*df.columns)).alias("content_xor"),
-        F.sum(F.pmod(F.xxhash64(*df.columns), F.lit(1_000_003))).alias("content_sum"),
+        F.bit_xor(row).alias("content_xor"),
+        F.sum(F.pmod(row, F.lit(1_000_003))).alias("content_sum"),
         F.count("*").alias("n_rows"),
     )
 
