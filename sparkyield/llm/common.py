@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkyield.runtime import materialize
@@ -34,26 +34,40 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return materialize(df)
 
 
-def _step(edges: DataFrame) -> DataFrame:
+#: edges of which one task may hold all; more are joined, so that Spark can split a hub
+HUB_ROWS = 2_000_000
+
+
+def _stars(edges: DataFrame, splittable: bool) -> DataFrame:
+    """``edges (u, v)`` with ``m``, the smallest ``v`` of their ``u``."""
+    if not splittable:
+        return edges.withColumn("m", F.min("v").over(Window.partitionBy("u")))
+    low = checkpointed(edges.groupBy("u").agg(F.min("v").alias("m")))
+    return edges.join(low, "u")
+
+
+def _step(edges: DataFrame, splittable: bool) -> DataFrame:
     """One round of large-star and small-star over edges ``(u, v)`` with u > v."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = checkpointed(both.groupBy("u").agg(F.min("v").alias("m")))
-    low = low.select("u", F.least("u", "m").alias("m"))
-    large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    large = checkpointed(large.distinct())
-    low = checkpointed(large.groupBy("u").agg(F.min("v").alias("m")))
-    small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return checkpointed(small.unionByName(low.withColumnRenamed("m", "v")).distinct())
+    large = _stars(both, splittable).where("v > u")
+    large = large.select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+    if splittable:
+        large = checkpointed(large)
+    small = _stars(large, splittable)
+    end = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
+    small = small.select(end.alias("u"), F.col("m").alias("v"))
+    return checkpointed(small.distinct())
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, hub_rows: int = HUB_ROWS) -> DataFrame:
     """``(node, root)`` for every node of the undirected ``edges (a, b)`` of longs.
 
     ``root`` is the smallest node of the connected component. Rounds of large-star
     and small-star shorten all paths at once, so their number grows with the
     logarithm of the longest path. Each round is written to the shared folder; only
     a count and a checksum of the edges reach the driver. Edges with a null end and
-    loops are left out. The edges must be stored or cheap to compute twice.
+    loops are left out. Up to ``hub_rows`` edges a window finds the smallest neighbour of
+    each node; beyond, a join does, whose hot keys Spark splits. The results are equal.
     """
     edges = edges.where("a <> b")
     now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -64,6 +78,6 @@ def components(edges: DataFrame) -> DataFrame:
         if row == mark or not row[0]:
             break
         mark = row
-        now = _step(now)
+        now = _step(now, row[0] > hub_rows)
     roots = now.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
