@@ -176,7 +176,7 @@ def lights(df):
 
 @query("E14", "pred")
 def bootstrap(df):
-    return ev.bootstrap_ci(df, V, KEY, replicates=200)
+    return ev.bootstrap_ci(df, V, KEY)
 
 
 CAL = """q AS (SELECT variedad, list_sort(list_distinct(quantile_cont(y_pred, {probs}))) AS ed, count(*) AS n FROM e GROUP BY 1 HAVING count(*) >= {least}),

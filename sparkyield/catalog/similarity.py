@@ -192,7 +192,7 @@ def k_sweep(df):
     return k_sweep(Study(df).scaled, FEATURES, range(3, 16), current=len(ANCHORS))
 
 
-REPLICATES = 10
+REPLICATES = 100
 
 
 def _stability(df):
