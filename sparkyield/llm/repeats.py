@@ -26,7 +26,7 @@ from sparkyield.llm.induced import suffix_order
 
 WINDOW = 50
 #: bytes of the substrings whose hashes are compared
-GRAM = 32
+GRAM = 24
 #: bytes of one text that are looked at together
 CHUNK = 1 << 20
 #: minimizers that a task gathers before it sends them on
@@ -42,16 +42,25 @@ NO_ID = (1 << 63) - 1
 
 
 def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
-    """A 64-bit hash of every ``gram`` bytes; ``gram`` is a power of two."""
-    h = data.astype(np.uint64) + np.uint64(1)
-    width = 1
-    while width < gram:
-        h = h[:-width] * np.uint64(0x9E3779B97F4A7C15) + h[width:]
+    """A 64-bit hash of every ``gram`` bytes, joined from hashes of powers of two."""
+
+    def joined(left, right):
+        h = left * np.uint64(0x9E3779B97F4A7C15) + right
         h ^= h >> np.uint64(31)
         h *= np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(29)
+        return h
+
+    h, width, out, done = data.astype(np.uint64) + np.uint64(1), 1, None, 0
+    while True:
+        if gram & width:
+            n = len(data) - done - width + 1
+            out = h if out is None else joined(h[:n], out[width : width + n])
+            done += width
+        if 2 * width > gram:
+            return out
+        h = joined(h[:-width], h[width:])
         width *= 2
-    return h
 
 
 def segments(data: bytes, window: int = WINDOW) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -131,7 +140,7 @@ class Gathered:
                 np.ascontiguousarray(mine),
             ]
             raw = head.tobytes() + b"".join(c.tobytes() for c in columns) + b"".join(data)
-            yield shard, zstandard.ZstdCompressor(level=1).compress(raw)
+            yield shard, zstandard.ZstdCompressor(level=3).compress(raw)
         self.clear()
 
 
@@ -195,13 +204,18 @@ def _sorted_marks(rows: dict[str, np.ndarray], window: int) -> np.ndarray:
     inside[stops] = False
     text[inside] = rows["data"].astype(np.int16) + 1
     row = np.repeat(np.arange(n), rows["size"] + 1)
+    # eight bytes from each place on; windows hold no sentinel
+    words = np.zeros(total, np.uint64)
+    for k in range(8):
+        words[: total - k] |= (text[k:] - 1).astype(np.uint8).astype(np.uint64) << np.uint64(8 * k)
     out, held = [], np.zeros(0, np.int64)
 
     def close(part):
         """Marks of suffixes of which equal windows are complete."""
         equal = np.ones(max(len(part) - 1, 0), bool)
-        for k in range(window):
-            equal &= text[part[1:] + k] == text[part[:-1] + k]
+        for k in [*range(0, window - 8, 8), window - 8]:
+            word = words[part + k]
+            equal &= word[1:] == word[:-1]
         first = np.flatnonzero(np.r_[True, ~equal])
         doc = rows["doc"][row[part]]
         lowest = np.repeat(np.minimum.reduceat(doc, first), np.diff(np.r_[first, len(part)]))
@@ -213,8 +227,8 @@ def _sorted_marks(rows: dict[str, np.ndarray], window: int) -> np.ndarray:
         if len(held) > (1 << 20):
             # the last equal windows may go on
             same = np.ones(len(held), bool)
-            for k in range(window):
-                same &= text[held + k] == text[held[-1] + k]
+            for k in [*range(0, window - 8, 8), window - 8]:
+                same &= words[held + k] == words[held[-1] + k]
             cut = int(np.argmax(same))
             if cut:
                 out.append(close(held[:cut]))
@@ -476,9 +490,9 @@ def _sent(shards: int):
 
         for batch in batches:
             ids, bodies = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for doc, body, value, numbers in zip(ids, bodies, texts(batch.column(2)), batch.column(3)):
+            for doc, body, data, numbers in zip(ids, bodies, _opened(batch.column(2)), batch.column(3)):
                 wanted = np.unique(np.frombuffer(numbers.as_py(), "<u4")).astype(np.int64)
-                gathered.add(doc, body, value.encode("utf-8", "replace"), wanted)
+                gathered.add(doc, body, data, wanted)
                 if gathered.size > GATHER:
                     yield from flush()
         yield from flush()
@@ -516,38 +530,59 @@ def _marked(window: int):
 
 
 def _prepared(docs: DataFrame, text: str, id_col: str, carry: list[str]) -> DataFrame:
+    """``carry`` as d0, d1 ..., then ``doc``, ``body`` and ``value``, the text compressed."""
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    return docs.select(
-        *[F.col(f"`{c}`").alias(f"d{i}") for i, c in enumerate(carry)],
+    names = [f"d{i}" for i in range(len(carry))]
+    rows = docs.select(
+        *[F.col(f"`{c}`").alias(n) for c, n in zip(carry, names)],
         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("doc"),
         F.xxhash64(value).alias("body"),
         value.alias("value"),
     )
 
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            packed = [packer.compress(t.encode("utf-8", "replace")) for t in texts(batch.column(len(names) + 2))]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(packed, pa.binary())], [*names, "doc", "body", "value"]
+            )
+
+    kinds = [f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(carry, names)]
+    return rows.mapInArrow(scan, ", ".join([*kinds, "doc bigint", "body bigint", "value binary"]))
+
+
+def _opened(column: pa.Array) -> Iterator[bytes]:
+    opener = zstandard.ZstdDecompressor()
+    return (opener.decompress(x.as_py()) for x in column)
 
-def repeated_spans(rows: DataFrame, window: int = WINDOW, shards: int | None = None) -> DataFrame:
+
+def repeated_spans(
+    docs: DataFrame, rows: DataFrame, text: str, id_col: str, shards: int | None = None
+) -> DataFrame:
     """``(doc, body, start, stop)``: byte ranges of a document that a smaller one holds.
 
-    ``rows`` has ``doc``, ``body``, the hash of the text, and ``value``, the text. The
-    ranges may overlap. Each step hands a bounded amount to a task: rows for one
-    minimizer or one segment that a task has from several documents are sent on once.
+    ``rows`` has ``doc``, ``body``, the hash of the text, and ``value``, the text packed
+    as in ``_prepared``. The ranges may overlap. Each step hands a bounded amount to a
+    task: rows for one minimizer or one segment that a task has from several documents
+    are sent on once.
     """
-    if window != WINDOW:
-        raise ValueError("the length of the substrings is chosen for the standard window")
+    value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     if shards is None:
-        total = rows.agg(F.sum(F.octet_length("value"))).first()[0] or 0
+        total = docs.agg(F.sum(F.octet_length(value))).first()[0] or 0
         shards = max(8, -(-total // SHARD_BYTES))
+    given = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)), value)
     kind = "shard bigint, blob binary"
 
     def dealt(df):
         return df.repartition(shards, "shard").sortWithinPartitions("shard")
 
-    entries = dealt(rows.select("doc", "value").mapInArrow(_entries(shards), kind))
+    entries = dealt(given.mapInArrow(_entries(shards), kind))
     wanted = dealt(entries.mapInArrow(_counted(shards), kind))
     numbers = wanted.mapInArrow(_numbers, "doc bigint, numbers binary")
     chosen = rows.join(numbers, "doc").select("doc", "body", "value", "numbers")
     segments_ = dealt(chosen.mapInArrow(_sent(shards), kind))
-    return segments_.mapInArrow(_marked(window), "doc bigint, body bigint, start bigint, stop bigint")
+    return segments_.mapInArrow(_marked(WINDOW), "doc bigint, body bigint, start bigint, stop bigint")
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -578,7 +613,7 @@ def _with_spans(docs: DataFrame, text: str, id_col: str, shards: int | None, car
     the two.
     """
     rows = _prepared(docs, text, id_col, carry)
-    spans = repeated_spans(rows, WINDOW, shards)
+    spans = repeated_spans(docs, rows, text, id_col, shards)
     grouped = spans.groupBy("doc").agg(F.collect_set(F.struct("body", "start", "stop")).alias("spans"))
     names = [f"d{i}" for i in range(len(carry))]
     return rows.join(grouped, "doc", "left").select(*names, "doc", "body", "value", "spans")
@@ -604,8 +639,7 @@ def digests(
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for body, value, spans in zip(batch.column(1).to_pylist(), texts(batch.column(2)), batch.column(3)):
-                data = value.encode("utf-8", "replace")
+            for body, data, spans in zip(batch.column(1).to_pylist(), _opened(batch.column(2)), batch.column(3)):
                 found = _of_body(spans, body)
                 rest = cut(data, found)
                 out.append((len(data), len(data) - len(rest), len(found), hashlib.sha256(rest).hexdigest()))
