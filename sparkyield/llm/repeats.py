@@ -549,7 +549,9 @@ def _prepared(docs: DataFrame, text: str, id_col: str, carry: list[str]) -> Data
             )
 
     kinds = [f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(carry, names)]
-    return rows.mapInArrow(scan, ", ".join([*kinds, "doc bigint", "body bigint", "value binary"]))
+    packed = rows.mapInArrow(scan, ", ".join([*kinds, "doc bigint", "body bigint", "value binary"]))
+    # never null; said here as the inner join says it, so that both joins read one shuffle
+    return packed.where("doc is not null")
 
 
 def _opened(column: pa.Array) -> Iterator[bytes]:
