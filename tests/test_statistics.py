@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkyield.functions import distributions as dist
 from sparkyield.operators import evaluate, profile, regression, series, similarity
+from sparkyield.sources import writers
 from sparkyield.sources.fixtures import KEY
 
 ORDER = ["t"]
@@ -145,3 +146,40 @@ def test_permanova_separates(spark):
     df = spark.createDataFrame(pts, "variedad string, entrena_con string, f1 double, f2 double")
     r = similarity.permanova(df, ["f1", "f2"], 199).first()
     assert r["passed"] and r["r2"] > 0.8
+
+
+def test_pacf_of_short_series(spark):
+    rng = np.random.default_rng(3)
+    rows = [(g, i, float(v)) for g, n in (("a", 26), ("b", 60), ("c", 20)) for i, v in enumerate(rng.normal(size=n))]
+    df = spark.createDataFrame(rows, "g string, i int, v double")
+    got = series.pacf(df, ["g"], ["i"], "v").toPandas()
+    assert set(got["g"]) == {"a", "b"}
+    for name, n in (("a", 26), ("b", 60)):
+        x = np.array([v for g, _, v in rows if g == name])
+        mine = got[got["g"] == name].sort_values("lag")["pacf"].tolist()
+        assert len(mine) == min(20, n // 2 - 1) + 1
+        for k in range(1, len(mine)):
+            left = np.column_stack([np.ones(n - k)] + [x[k - j : n - j] for j in range(1, k + 1)])
+            want = np.linalg.lstsq(left, x[k:], rcond=None)[0][-1]
+            assert abs(mine[k] - want) < 1e-6
+
+
+def test_fingerprint_sees_which_values_are_null(spark):
+    schema = "a long, b long"
+    prints = [
+        tuple(writers.fingerprint(spark.createDataFrame(r, s)).first())
+        for r, s in (([(None, 5)], schema), ([(5, None)], schema), ([(5, None)], "b long, a long"))
+    ]
+    assert len(set(prints)) == 3
+
+
+def test_grid_of_few_values_is_the_values(spark):
+    from sparkyield.plans import training
+
+    class Model:
+        def score(self, df):
+            return df.withColumn("y_pred", df["x"] * 2.0)
+
+    df = spark.createDataFrame([(float(i % 3),) for i in range(30)], "x double")
+    got = training.partial_dependence(Model(), df, "x").orderBy("grid").collect()
+    assert [(r["grid"], r["pred_mean"]) for r in got] == [(0.0, 0.0), (1.0, 2.0), (2.0, 4.0)]
