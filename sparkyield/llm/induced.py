@@ -11,19 +11,22 @@ budget they go on in a file.
 from __future__ import annotations
 
 import tempfile
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
 
 #: bytes of queued suffixes held in memory
 MEMORY = 64 << 20
+#: suffixes that are induced from at once
+BLOCK = 1 << 20
 
 
 class Queues:
     """First-in-first-out queues of suffix positions, one for each symbol."""
 
     def __init__(self, symbols: int, memory: int = MEMORY):
-        self.parts: list[list] = [[] for _ in range(symbols)]
+        self.parts: list[deque] = [deque() for _ in range(symbols)]
         self.memory, self.held, self.file = memory, 0, None
 
     def push(self, symbols: np.ndarray, values: np.ndarray):
@@ -32,9 +35,9 @@ class Queues:
             return
         order = np.argsort(symbols, kind="stable")
         symbols, values = symbols[order], values[order]
-        cuts = np.flatnonzero(symbols[1:] != symbols[:-1]) + 1
-        firsts = symbols[np.r_[0, cuts]].tolist()
-        for s, part in zip(firsts, np.split(values, cuts)):
+        starts = [0, *(np.flatnonzero(symbols[1:] != symbols[:-1]) + 1).tolist()]
+        for s, a, b in zip(symbols[starts].tolist(), starts, [*starts[1:], len(values)]):
+            part = values[a:b]
             if self.held + part.nbytes > self.memory:
                 if self.file is None:
                     self.file = tempfile.TemporaryFile()
@@ -52,10 +55,14 @@ class Queues:
         return np.frombuffer(self.file.read(8 * part[1]), np.int64)
 
     def drain(self, symbol: int) -> Iterator[np.ndarray]:
-        """The parts of a queue in order, also those that arrive meanwhile."""
+        """A queue in order, in large blocks, also what arrives meanwhile."""
         parts = self.parts[symbol]
         while parts:
-            yield self._read(parts.pop(0))
+            block, size = [], 0
+            while parts and size < BLOCK:
+                block.append(self._read(parts.popleft()))
+                size += len(block[-1])
+            yield block[0] if len(block) == 1 else np.concatenate(block)
 
     def close(self):
         if self.file is not None:
