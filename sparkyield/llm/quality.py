@@ -2,9 +2,8 @@
 
 A line that many different documents of one host carry is boilerplate: it is removed
 there, and a document of which too little is left is rejected. Line counts come from
-hashes of normalised lines. Documents count as different by their smallest five-word
-shingle hash, so that a group of copies counts about once and does not turn its own
-text into boilerplate.
+hashes of normalised lines. Documents count as different by a hash of all their words
+in order, so exact copies count once and do not turn their own text into boilerplate.
 """
 
 from __future__ import annotations
@@ -91,14 +90,13 @@ def line_hash(line: bytes) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def _signature(data: bytes, words: Words) -> tuple[int | None, list[int]]:
-    """Smallest shingle hash and the distinct line hashes of a text."""
+def _signature(data: bytes) -> tuple[int | None, list[int]]:
+    """A hash of all words and the distinct line hashes of a text."""
     split = data.split()
     if not split:
         return None, []
-    smallest = window_hashes(words.hashes(split)).min()
     lines = {line_hash(x) for x in set(data.split(b"\n")) if x.strip(SPACE)}
-    return int(smallest.view(np.int64)), list(lines)
+    return int(np.uint64(xxhash.xxh64_intdigest(b" ".join(split))).view(np.int64)), list(lines)
 
 
 def host_lines(
@@ -111,9 +109,8 @@ def host_lines(
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
         for batch in batches:
-            found = [_signature(t.encode("utf-8", "replace"), words) for t in texts(batch.column(1))]
+            found = [_signature(t.encode("utf-8", "replace")) for t in texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),

@@ -97,6 +97,21 @@ def test_removal_and_rejection_by_host(spark, make):
     assert removed > 50 and rejected > 5
 
 
+@pytest.mark.parametrize("footers", [1, 5])
+def test_pages_of_mostly_boilerplate_are_rejected(spark, make, footers):
+    """Different pages count each, however much of their text is the same."""
+    rng = random.Random(footers)
+    prose = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    footer = [prose(100 // footers) for _ in range(footers)]
+    rows = [(i, prose(60), "h") for i in range(100)]
+    rows += [(100 + i, "\n".join([prose(12), *footer]), "h") for i in range(50)]
+    rows += [(150 + i, rows[0][1], "h") for i in range(50)]  # copies count once
+    got = quality.apply_rules(make(rows), left=True).collect()
+    for r in got:
+        page = 100 <= r["doc_id"] < 150
+        assert r["kept"] is not page
+        assert (r["n_removed_lines"], r["n_left_words"]) == ((footers, 12) if page else (0, 60))
+
 
 @pytest.mark.parametrize("line", ["Ab  12\tc", "ab 99 C"])
 def test_lines_are_normalised(line):
