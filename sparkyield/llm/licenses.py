@@ -8,6 +8,8 @@ confirms it. Only column expressions and Spark ML are used.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF, NGram
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -97,12 +99,15 @@ def pairs_of(words: Column) -> Column:
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc, body, words)`` of every line with a word, long ones in overlapping pieces."""
+    """``(doc, body, words)`` of every paragraph with a word, long ones in overlapping pieces.
+
+    A paragraph is the lines between two blank ones, so wrapped statements stay whole.
+    """
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     lines = docs.select(
         F.col(f"`{id_col}`").alias("doc"),
         F.xxhash64(value).alias("body"),
-        F.explode(F.split(value, "\n")).alias("line"),
+        F.explode(F.split(value, r"\n\s*\n")).alias("line"),
     )
     words = lines.select("doc", "body", words_of(F.col("line")).alias("all")).where(F.size("all") > 0)
     last = F.greatest(F.size("all") - PIECE + STEP - 1, F.lit(0))
@@ -121,9 +126,19 @@ def vectors(rows: DataFrame) -> DataFrame:
 
 
 def templates(spark: SparkSession) -> DataFrame:
-    """``(family, template, words, pairs)``; a fixed, small table."""
-    rows = [(f, t) for f, ts in TEMPLATES.items() for t in ts]
-    table = spark.createDataFrame(rows, "family string, template string")
+    """``(family, template, own, words, pairs)``; a fixed, small table.
+
+    ``own`` are the pairs that no template of another family has.
+    """
+
+    def plain(text: str) -> set[str]:
+        words = re.findall("[a-z0-9]+", text.lower())
+        return {f"{a} {b}" for a, b in zip(words, words[1:])}
+
+    of = {f: set().union(*map(plain, ts)) for f, ts in TEMPLATES.items()}
+    others = {f: set().union(*(p for g, p in of.items() if g != f)) for f in of}
+    rows = [(f, t, sorted(plain(t) - others[f])) for f, ts in TEMPLATES.items() for t in ts]
+    table = spark.createDataFrame(rows, "family string, template string, own array<string>")
     table = table.withColumn("words", words_of(F.col("template")))
     return table.withColumn("pairs", pairs_of(F.col("words")))
 
@@ -132,7 +147,8 @@ def training_rows(spark: SparkSession, sample: DataFrame, variants: int = VARIAN
     """``(label, words)``: ``sample (words)`` as unknown, and variants of the templates.
 
     A variant drops about a twelfth of a template's words and stands between words of
-    sampled paragraphs, or alone.
+    sampled paragraphs, or alone. Half of those between words have up to 12 on each side,
+    half up to as many as fill a piece, split anywhere.
     """
     known = templates(spark)
     seeds = known.select("family", "words", "template", F.explode(F.sequence(F.lit(1), F.lit(variants))).alias("seed"))
@@ -146,9 +162,16 @@ def training_rows(spark: SparkSession, sample: DataFrame, variants: int = VARIAN
     # a few contexts for each variant
     around = around.dropDuplicates(["slot"])
     placed = seeds.withColumn("slot", slot).join(around, "slot", "left")
-    size = F.when(F.col("seed") % 2 == 0, F.lit(0)).otherwise((F.col("seed") % 13).cast("int"))
+    room = F.greatest(PIECE - F.size("core"), F.lit(0))
+    total = F.pmod(F.xxhash64("seed", "template"), room + 1).cast("int")
+    first = F.pmod(F.xxhash64("template", "seed", F.lit(1)), total + 1).cast("int")
+    few = (F.col("seed") % 13).cast("int")
+    sides = [
+        F.when(F.col("seed") % 2 == 0, F.lit(0)).when(F.col("seed") % 4 == 1, few).otherwise(many)
+        for many in (first, total - first)
+    ]
     context = F.coalesce("c", F.array().cast("array<string>"))
-    mixed = F.concat(F.slice(context, 1, size), F.col("core"), F.slice(F.reverse(context), 1, size))
+    mixed = F.concat(F.slice(context, 1, sides[0]), F.col("core"), F.slice(F.reverse(context), 1, sides[1]))
     label = F.array_position(F.array(*map(F.lit, FAMILIES)), F.col("family")) - 1
     positive = placed.select(label.cast("double").alias("label"), mixed.alias("words"))
     return positive.unionByName(sample.select(F.lit(0.0).alias("label"), "words"))
@@ -173,12 +196,20 @@ class Scanner:
         self.model, self.slope, self.offset = model, slope, offset
 
     def score(self, rows: DataFrame) -> DataFrame:
-        """Add ``family``, the likeliest, and ``confidence`` that it isn't unknown."""
+        """Add ``likely``: ``family``, ``confidence`` that it isn't unknown, and whether it
+        is the ``best``, of each family whose confidence is at least a half."""
         out = self.model.transform(vectors(rows)).withColumn("p", vector_to_array("probability"))
-        margin, best = _margin(F.col("p"))
         names = F.array(*map(F.lit, FAMILIES[1:]))
-        certain = 1 / (1 + F.exp(-(F.lit(self.slope) * margin + F.lit(self.offset))))
-        out = out.withColumns({"family": F.element_at(names, best), "confidence": certain})
+        p, tiny = F.col("p"), F.lit(1e-12)
+        _, best = _margin(p)
+
+        def rated(name: Column, i: Column) -> Column:
+            margin = F.log(F.greatest(F.get(p, i + 1), tiny)) - F.log(F.greatest(p[0], tiny))
+            certain = 1 / (1 + F.exp(-(F.lit(self.slope) * margin + F.lit(self.offset))))
+            return F.struct(name.alias("family"), certain.alias("confidence"), (i + 1 == best).alias("best"))
+
+        likely = F.filter(F.transform(names, rated), lambda x: x["confidence"] >= 0.5)
+        out = out.withColumn("likely", likely)
         return out.drop("features", "p", *[c for c in ("rawPrediction", "probability", "prediction")])
 
 
@@ -219,27 +250,32 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sample_row
     """Licences of every document.
 
     ``licenses`` are the confirmed families in order, ``n_found`` the confirmed pieces,
-    ``n_unconfirmed`` those that no template of their family confirms, and
-    ``confidence`` the best of a confirmed piece, 0 without one. A paragraph is a line;
-    whole texts are looked at. Null and empty texts have no licence. Rows repeated with
+    ``n_unconfirmed`` those of which no likely family is confirmed, and ``confidence``
+    the best of a confirmed family, 0 without one. A piece can have several families;
+    one that is not its likeliest needs a word pair that only its own templates have.
+    Whole texts are looked at. Null and empty texts have no licence. Rows repeated with
     id and text get the same result.
     """
     spark = docs.sparkSession
     pieces = paragraphs(docs, id_col, text)
     scanner = fit(spark, pieces, sample_rows)
-    likely = checkpointed(scanner.score(pieces).where("confidence >= 0.5"))
+    likely = checkpointed(scanner.score(pieces).where(F.size("likely") > 0))
     # the templates are a fixed table of a few dozen rows
-    known = F.broadcast(templates(spark).select("family", "pairs"))
-    numbered = likely.withColumn("mine", pairs_of(F.col("words")))
+    known = F.broadcast(templates(spark).select("family", "pairs", "own"))
+    numbered = likely.select("doc", "body", "words", F.inline("likely")).withColumn("mine", pairs_of(F.col("words")))
     shared = F.size(F.array_intersect("mine", "pairs")) / F.size("pairs")
-    best = numbered.join(known, "family").groupBy("doc", "body", "family", "words", "confidence")
-    best = best.agg(F.max(shared).alias("shared"))
-    sure = F.col("shared") >= CONFIRM
+    sure = (shared >= CONFIRM) & (F.col("best") | F.arrays_overlap("mine", "own"))
+    rated = numbered.join(known, "family").withColumn("sure", sure)
+    best = rated.groupBy("doc", "body", "words").agg(
+        F.collect_set(F.when(F.col("sure"), F.col("family"))).alias("families"),
+        F.max(F.when(F.col("sure"), F.col("confidence"))).alias("confidence"),
+    )
+    sure = F.size("families") > 0
     found = best.groupBy("doc", "body").agg(
-        F.sort_array(F.collect_set(F.when(sure, F.col("family")))).alias("licenses"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("families")))).alias("licenses"),
         F.count_if(sure).alias("n_found"),
         F.count_if(~sure).alias("n_unconfirmed"),
-        F.max(F.when(sure, F.col("confidence"))).alias("confidence"),
+        F.max("confidence").alias("confidence"),
     )
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     left = docs.select(F.col(f"`{id_col}`").alias("doc"), F.xxhash64(value).alias("body")).alias("l")

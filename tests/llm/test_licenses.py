@@ -61,6 +61,26 @@ def test_pieces_cover_every_paragraph(make):
     assert all(tuple(words[i : i + size]) in whole for i in range(333 - size + 1))
 
 
+def test_wrapped_dual_and_embedded_statements(make):
+    rng = random.Random(7)
+    rows, want = [(i, prose(rng, rng.randint(1, 60))) for i in range(150)], {}
+    texts = [
+        ("bsd", "Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions are met"),
+        ("gpl", "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation"),
+        ("mit apache", "SPDX-License-Identifier: MIT OR Apache-2.0"),
+        ("mit apache", "Licensed under the MIT License or\nthe Apache License, Version 2.0."),
+        ("apache", "SPDX-License-Identifier: Apache-2.0"),
+        ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
+    ]
+    texts += [(f, f"{prose(rng, 24)} {max(ts, key=len)} {prose(rng, 24)}") for f, ts in licenses.TEMPLATES.items()]
+    for i, (families, text) in enumerate(texts):
+        rows.append((1000 + i, prose(rng, 20) + "\n\n" + text + "\n\n" + prose(rng, 20)))
+        want[1000 + i] = set(families.split())
+    got = {r["doc_id"]: set(r["licenses"]) for r in licenses.scan(make(rows)).collect()}
+    assert {i: got[i] for i in want} == want
+    assert not any(got[i] for i in range(150))
+
+
 @pytest.mark.parametrize("text,pairs", [("One", ["one"]), ("a b a b", ["a b", "b a"])])
 def test_word_pairs(spark, text, pairs):
     row = spark.createDataFrame([(text,)], "t string")
