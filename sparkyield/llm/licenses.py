@@ -228,7 +228,7 @@ def fit(spark: SparkSession, pieces: DataFrame, sample_rows: int = SAMPLE_ROWS)
     fifth of all rows is held back for the calibration.
     """
     sample = pieces.select("words").withColumn("o", F.xxhash64("words"))
-    sample = sample.orderBy("o").limit(sample_rows).dropDuplicates(["o"]).drop("o")
+    sample = sample.dropDuplicates(["o"]).orderBy("o").limit(sample_rows).drop("o")
     sample = checkpointed(sample.where(~resembling(F.col("words"), 0.5)))
     rows = training_rows(spark, sample).withColumn("part", F.pmod(F.xxhash64("words", "label"), F.lit(5)))
     rows = checkpointed(rows)

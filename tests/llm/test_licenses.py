@@ -81,6 +81,16 @@ def test_wrapped_dual_and_embedded_statements(make):
     assert not any(got[i] for i in range(150))
 
 
+def test_the_sample_counts_different_paragraphs(spark, make, monkeypatch):
+    """Repeated lines do not use up the sample."""
+    kept = []
+    monkeypatch.setattr(licenses, "training_rows", lambda _, sample: kept.append(sample) or sample.missing)
+    rows = [(i, "the same line of words" if i % 4 else f"line number {i}") for i in range(200)]
+    with pytest.raises(AttributeError):
+        licenses.fit(spark, licenses.paragraphs(make(rows)), 40)
+    assert kept[0].distinct().count() == kept[0].count() == 40
+
+
 @pytest.mark.parametrize("text,pairs", [("One", ["one"]), ("a b a b", ["a b", "b a"])])
 def test_word_pairs(spark, text, pairs):
     row = spark.createDataFrame([(text,)], "t string")
