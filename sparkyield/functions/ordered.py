@@ -2,9 +2,9 @@
 
 A window partitioned by a key sorts one key's rows in one task. When a key may
 hold a third of the table this does not scale, so the helpers here first measure
-the largest group. Small groups use the ordinary window. Large ones are
-range-sorted on their full order key, given an exact global position, and cut
-into equal blocks; the last ``halo`` rows of a block are copied to the next one,
+the largest group. Small groups use the ordinary window. Large ones get an exact
+global position from ranges of their full order key and are cut into equal
+blocks; the last ``halo`` rows of a block are copied to the next one,
 so that a frame of up to ``halo`` preceding rows sees the same rows as before.
 """
 
@@ -21,7 +21,6 @@ POS = "_pos"
 IDX = "_idx"
 BLOCK = "_block"
 COPY = "_copy"
-_SLOT = (1 << 33) - 1
 
 
 @dataclass
@@ -46,31 +45,70 @@ class Blocks:
         return df.drop(COPY, BLOCK)
 
 
+def boundaries(df: DataFrame, order: list[str], ranges: int) -> list[tuple]:
+    """At most ``ranges`` - 1 values of ``order`` that cut ``df`` into near equal parts.
+
+    They come from the rows whose hash of ``order`` falls into a share of the hash
+    space, about a hundred for each range; the same rows give the same boundaries.
+    """
+    keys = df.select(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+    total = keys.count()
+    if ranges < 2 or not total:
+        return []
+    share = max(1, total // (ranges * 100))
+    names = keys.columns
+    mark = F.pmod(F.xxhash64(*names), F.lit(share)) == 0
+    sample = keys.where(mark).distinct().orderBy(*names).collect()
+    step = max(1, -(-len(sample) // ranges))
+    return [tuple(r) for r in sample[step::step]]
+
+
+def range_number(df: DataFrame, order: list[str], cuts: list[tuple]) -> Column:
+    """How many of the ascending ``cuts`` are not above the row, by binary search; null is low."""
+    if not cuts:
+        return F.lit(0)
+    kinds = [df.schema[c].dataType for c in order]
+    field = lambda v, i: F.lit(v).cast(kinds[i]).alias(f"o{i}")
+    table = F.array(*[F.struct(*[field(v, i) for i, v in enumerate(cut)]) for cut in cuts])
+    row = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+    ends = F.struct(F.lit(0).alias("low"), F.lit(len(cuts)).alias("high"))
+
+    def halve(now: Column, _: Column) -> Column:
+        mid = F.floor((now["low"] + now["high"]) / 2).cast("int")
+        passed = F.get(table, mid) <= row
+        return F.when(
+            now["low"] < now["high"],
+            F.struct(
+                F.when(passed, mid + 1).otherwise(now["low"]).alias("low"),
+                F.when(passed, now["high"]).otherwise(mid).alias("high"),
+            ),
+        ).otherwise(now)
+
+    steps = F.sequence(F.lit(1), F.lit(len(cuts).bit_length()))
+    return F.aggregate(steps, ends, halve)["low"]
+
+
 def positioned(df: DataFrame, order: list[str]) -> DataFrame:
     """Add ``_pos``, the exact 0-based global position in ``order``.
 
-    The range-sorted rows are written once; per-partition counts (one row per
-    partition, hence bounded) give the offsets.
+    It follows from the order columns alone: fixed boundaries cut the rows into
+    ranges, each range is ordered by one task, and the row counts of the ranges (one
+    row each, hence bounded) give the offsets. Nothing is stored, and a task that
+    runs again gives the same positions as long as ``order`` is unique.
     """
-    spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    placed = (
-        df.repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_mid", 33).cast("int"))
-        .withColumn("_slot", F.col("_mid").bitwiseAND(F.lit(_SLOT)))
-        .drop("_mid")
-    )
-    placed = runtime.materialize(placed)
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    cuts = boundaries(df, order, parts)
+    placed = df.withColumn("_part", range_number(df, order, cuts))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_part")
         .agg(F.count("*").alias("_n"))
         .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
+    inside = Window.partitionBy("_part").orderBy(*order)
     return (
-        placed.join(F.broadcast(offsets), "_part")
+        placed.withColumn("_slot", F.row_number().over(inside) - 1)
+        .join(F.broadcast(offsets), "_part")
         .withColumn(POS, F.col("_offset") + F.col("_slot"))
         .drop("_part", "_slot", "_offset")
     )
