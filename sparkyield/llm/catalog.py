@@ -10,6 +10,7 @@ from sparkyield.llm import (
     decontaminate,
     licenses,
     lines,
+    merkle,
     packing,
     quality,
     repeats,
@@ -90,3 +91,51 @@ def op10_repeated_bytes(spark, sf_dir):
 @query("op9_license_scan")
 def op9_license_scan(spark, sf_dir):
     return licenses.scan(documents(spark, sf_dir))
+
+
+#: unsigned crc32 of a text without characters over one byte, bit by bit
+CRC32 = (
+    "xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, "
+    "list_transform(string_split({0}, ''), lambda c: ascii(c)::BIGINT)), lambda x, b: "
+    "list_reduce([xor(x, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))))"
+)
+
+
+def _tree_sql(name: str, base: str, levels: int) -> str:
+    """Nodes and runs of ``levels`` levels above the table ``base (g, i, n, h)``, and their ends."""
+    out = [f"{name}0 AS (SELECT g, i, n, h FROM {base})"]
+    for k in range(levels):
+        out.append(f"{name}r{k} AS (SELECT g, i // 16 AS r, list(h ORDER BY i) AS hs FROM {name}{k} WHERE n > 1 GROUP BY 1, 2)")
+        out.append(f"{name}{k + 1} AS (SELECT g, i // 16 AS i, (n + 15) // 16 AS n, sha256(string_agg(h, '' ORDER BY i)) AS h FROM {name}{k} WHERE n > 1 GROUP BY 1, 2, 3)")
+    ends = " UNION ALL ".join(f"SELECT g, h FROM {name}{k} WHERE n = 1" for k in range(levels + 1))
+    return ", ".join([*out, f"{name}e AS ({ends})"])
+
+
+def _walk_sql(name: str, base: str, levels: int) -> str:
+    """Rows of ``base (g, i, n, acc, proof, ...)`` folded up to the end of their tree."""
+    out, last = [], base
+    for k in range(levels):
+        out.append(
+            f"{name}w{k} AS (SELECT * EXCLUDE (b, a) REPLACE (i // 16 AS i, CASE WHEN n > 1 THEN (n + 15) // 16 ELSE n END AS n, "
+            "CASE WHEN n > 1 THEN sha256(b || acc || a) ELSE acc END AS acc, CASE WHEN n > 1 THEN proof || b || a ELSE proof END AS proof) "
+            f"FROM (SELECT t.*, array_to_string(hs[1:t.i % 16], '') AS b, array_to_string(hs[t.i % 16 + 2:], '') AS a FROM {last} t LEFT JOIN {name}r{k} x ON x.g IS NOT DISTINCT FROM t.g AND x.r = t.i // 16 AND t.n > 1))"
+        )
+        last = f"{name}w{k}"
+    return ", ".join(out)
+
+
+_ENC = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+_LOW = f"CASE WHEN {CRC32.format('doc_id::VARCHAR')} % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END"
+_HEAD = " || ".join(_ENC.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+MERKLE_SQL = f"""WITH d AS (SELECT doc_id, source, sha256({_HEAD} || {_ENC.format('text')}) AS h, sha256({_HEAD} || {_ENC.format(f'({_LOW})')}) AS tried FROM documents),
+o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM d),
+leaves AS (SELECT source AS g, i, n, h FROM o), {_tree_sql('s', 'leaves', 6)},
+sub AS (SELECT g AS source, h, 0 AS g, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM se), {_tree_sql('t', 'sub', 5)},
+go AS (SELECT source AS g, i, n, tried AS acc, '' AS proof, doc_id, h AS leaf FROM o), {_walk_sql('s', 'go', 6)},
+up AS (SELECT 0 AS g, sub.i, sub.n, w.acc, w.proof, w.doc_id, w.leaf, sub.h AS subroot FROM sw5 w JOIN sub ON sub.source IS NOT DISTINCT FROM w.g), {_walk_sql('t', 'up', 5)}
+SELECT doc_id, leaf, subroot, te.h AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = te.h AS verified FROM tw4, te"""
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def op11_merkle_manifest(spark, sf_dir):
+    return merkle.audit(documents(spark, sf_dir)).drop("n_steps")
