@@ -12,8 +12,10 @@ from sparkyield.llm import (
     lines,
     merkle,
     packing,
+    ppm,
     quality,
     repeats,
+    resample,
     sharding,
     simhash,
 )
@@ -124,6 +126,22 @@ def _walk_sql(name: str, base: str, levels: int) -> str:
     return ", ".join(out)
 
 
+_BYTES = "list_transform(range(0, strlen({0})), lambda i: ('0x' || substr(hex({0}), 2 * i + 1, 2))::BIGINT)"
+_WORDS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+_CRC_WORD = CRC32.replace("list_transform(string_split({0}, ''), lambda c: ascii(c)::BIGINT)", _BYTES)
+RESAMPLE_SQL = f"""WITH dw AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS}, []) AS ws FROM documents),
+dx AS (SELECT r, unnest(ws) AS w FROM dw), tx AS (SELECT unnest({_WORDS}) AS w FROM benchmark),
+v AS (SELECT w, {_CRC_WORD.format('w')} % 10000 AS bucket FROM (SELECT w FROM dx UNION SELECT w FROM tx)),
+s AS (SELECT bucket, count(*) AS s FROM dx JOIN v USING (w) GROUP BY 1), t AS (SELECT bucket, count(*) AS t FROM tx JOIN v USING (w) GROUP BY 1),
+gain AS (SELECT b AS bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM dx)::DOUBLE + 10000)) / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM tx)::DOUBLE + 10000))))::BIGINT AS g
+ FROM range(10000) x(b) LEFT JOIN s ON s.bucket = b LEFT JOIN t ON t.bucket = b),
+wt AS (SELECT r, sum(g)::BIGINT AS weight FROM dx JOIN v USING (w) JOIN gain USING (bucket) GROUP BY 1),
+sc AS (SELECT doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM dw LEFT JOIN wt USING (r)),
+rk AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS k, count(*) FILTER (n_features >= 20) OVER () AS n FROM sc)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND k <= 10 * n // 100 THEN k END AS rank FROM rk"""
 _ENC = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
 _LOW = f"CASE WHEN {CRC32.format('doc_id::VARCHAR')} % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END"
 _HEAD = " || ".join(_ENC.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
@@ -139,3 +157,13 @@ SELECT doc_id, leaf, subroot, te.h AS root, sha256(proof) AS proof_sha256, acc A
 @query("op11_merkle_manifest", MERKLE_SQL)
 def op11_merkle_manifest(spark, sf_dir):
     return merkle.audit(documents(spark, sf_dir)).drop("n_steps")
+
+
+@query("op13_importance_resampling", RESAMPLE_SQL)
+def op13_importance_resampling(spark, sf_dir):
+    return resample.resample(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
+@query("op12_lm_scoring")
+def op12_lm_scoring(spark, sf_dir):
+    return ppm.score(documents(spark, sf_dir))
