@@ -8,6 +8,7 @@ assumption about how big a table or a group is.
 from __future__ import annotations
 
 import atexit
+import json
 import os
 import shutil
 import tempfile
@@ -53,7 +54,9 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._is_stored = True
+    return stored
 
 
 def rows_up_to(df: DataFrame, limit: int) -> bool:
@@ -96,3 +99,20 @@ def attach(
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
     return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
+
+
+def save_tables(spark: SparkSession, path: str, tables: dict[str, DataFrame], settings: dict) -> None:
+    """Write fitted ``tables`` and ``settings`` below ``path``, a folder every executor can reach."""
+    for name, table in tables.items():
+        table.write.parquet(f"{path}/{name}")
+    text = json.dumps({"settings": settings, "tables": list(tables)})
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{path}/settings")
+
+
+def load_tables(spark: SparkSession, path: str) -> tuple[dict[str, DataFrame], dict]:
+    """What :func:`save_tables` wrote; the tables are read where they lie."""
+    kept = json.loads(spark.read.text(f"{path}/settings").first()[0])
+    tables = {name: spark.read.parquet(f"{path}/{name}") for name in kept["tables"]}
+    for table in tables.values():
+        table._is_stored = True
+    return tables, kept["settings"]
