@@ -16,7 +16,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from sparkyield import roles, runtime
 from sparkyield.functions import scalar
-from sparkyield.functions.ordered import Blocks, blocks
+from sparkyield.functions.ordered import COPY, Blocks, blocks
 from sparkyield.functions.quantiles import long_form, quantile_rows
 
 GROUPS = {"ff": ["fundo", "formato"], "f": ["fundo"], "fmt": ["formato"]}
@@ -32,6 +32,8 @@ OUTPUTS = (
     + ["days_since_last_ff", "tenure_fundo_days", "kg_ha_ratio_ff_30", "kg_ha_ratio_ff_90"]
     + ["delta_kg_jr_h_30_90", "kg_ha_rel_global_30", "kg_ha_rel_formato_30"]
 )
+#: columns that the farm and format frames give besides medians
+SPREAD = ["kg_ha_std_ff_30", "kg_ha_slope_ff_30", "days_since_last_ff"]
 SIMPLE_OUTPUTS = ["kg_jr_h_lag_ff_simple_1", "kg_jr_h_lag_ff_simple_2", "kg_jr_h_diff_1_ff"]
 
 
@@ -62,44 +64,60 @@ def group_sizes(df: DataFrame, scope: list[str]) -> dict[str, int]:
     return {k: row[k] or 0 for k in totals}
 
 
-def rolling_medians(b: Blocks, df: DataFrame, names: dict[str, tuple[str, int]]) -> DataFrame:
-    """Medians of the previous rows; ``names`` maps output to (column, rows).
+def rolling_medians(b: Blocks, names: dict[str, tuple[str, int]], key: list[str], extra: list[str] = ()) -> DataFrame:
+    """Medians of the previous rows by ``key``; ``names`` maps output to (column, rows).
 
     Spark's percentile rebuilds every frame; a sliding median over Arrow columns
-    of one block (bounded rows) updates it. Other columns pass through untouched.
+    of one block (bounded rows) updates it. Only the key, the values and the ``extra``
+    columns travel.
     """
     least = roles.LAG_MIN
+    values = list(dict.fromkeys(col for col, _ in names.values()))
 
     def slide(table: pa.Table) -> pa.Table:
         order = np.argsort(table["_ord"].to_numpy(), kind="stable")
         shifted = {
             c: pd.Series(table[c].to_numpy(zero_copy_only=False).astype(float)[order]).shift(1)
-            for c in dict.fromkeys(col for col, _ in names.values())
+            for c in values
         }
+        out = table.select(kept)
         for name, (c, n) in names.items():
-            values = np.empty(len(order))
-            values[order] = shifted[c].rolling(n, min_periods=least).median().to_numpy()
-            table = table.append_column(name, pa.array(values, from_pandas=True))
-        return table.drop_columns(["_ord"])
+            medians = np.empty(len(order))
+            medians[order] = shifted[c].rolling(n, min_periods=least).median().to_numpy()
+            out = out.append_column(name, pa.array(medians, from_pandas=True))
+        return out
 
-    schema = StructType([*df.schema.fields, *[StructField(k, DoubleType()) for k in names]])
-    ordered = df.withColumn("_ord", F.row_number().over(b.window()))
-    return ordered.groupBy(*b.by).applyInArrow(slide, schema)
+    kept = list(dict.fromkeys([*key, *extra, *([COPY] if COPY in b.df.columns else [])]))
+    ordered = b.df.withColumn("_ord", F.row_number().over(b.window()))
+    slim = ordered.select(*dict.fromkeys([*b.by, *kept, *values, "_ord"]))
+    schema = StructType([*ordered.select(*kept).schema.fields, *[StructField(k, DoubleType()) for k in names]])
+    return b.finish(slim.groupBy(*b.by).applyInArrow(slide, schema))
+
+
+def _slim(df: DataFrame, key: list[str], scope: list[str]) -> DataFrame:
+    """What the row frames need of a table."""
+    return df.select(*dict.fromkeys([*key, *scope, *GROUPS["ff"], roles.DATE, *VALUES]))
 
 
 def group_medians(
     df: DataFrame, key: list[str], scope: list[str], groups=None, sizes: dict[str, int] | None = None
 ) -> DataFrame:
-    """Rolling medians of the target and of kg per hectare for each grouping."""
+    """Rolling medians of the target and of kg per hectare for each grouping.
+
+    Every grouping starts from the few columns it needs and is joined back by ``key``,
+    so whole rows are shuffled once and never leave the JVM.
+    """
     sizes = sizes or group_sizes(df, scope)
+    base, out = _slim(df, key, scope), df
     for g in groups or GROUPS:
-        by, order = scope + GROUPS[g], [roles.DATE] + key
         limit = min(ROLL_ROWS, runtime.GROUP_ROWS)
-        b = blocks(df, by, order, max(roles.LAG_WINDOWS), limit, largest=sizes[g])
-        rows = spread_and_cadence(b, b.df) if g == "ff" else b.df
+        b = blocks(base, scope + GROUPS[g], [roles.DATE] + key, max(roles.LAG_WINDOWS), limit, largest=sizes[g])
+        extra = []
+        if g == "ff":
+            b, extra = Blocks(spread_and_cadence(b, b.df), b.by, b.order), SPREAD
         names = {f"{v}_lag_{g}_{n}": (v, n) for v in VALUES for n in roles.LAG_WINDOWS}
-        df = b.finish(rolling_medians(b, rows, names))
-    return df
+        out = runtime.attach(out, rolling_medians(b, names, key, extra), key)
+    return out
 
 
 def spread_and_cadence(b: Blocks, df: DataFrame) -> DataFrame:
@@ -229,10 +247,10 @@ def global_ratio(
 ) -> DataFrame:
     """kg per hectare against the previous 30 rows of all groups."""
     limit = min(ROLL_ROWS, runtime.GROUP_ROWS)
-    b = blocks(df, scope, [roles.DATE] + key, 30, limit, largest=largest)
-    out = rolling_medians(b, b.df, {"_global": ("kg_ha", 30)})
+    b = blocks(_slim(df, key, scope), scope, [roles.DATE] + key, 30, limit, largest=largest)
+    out = runtime.attach(df, rolling_medians(b, {"_global": ("kg_ha", 30)}, key), key)
     ratio = scalar.safe_ratio(F.col("kg_ha"), F.col("_global"))
-    return b.finish(out.withColumn("kg_ha_rel_global_30", ratio)).drop("_global")
+    return out.withColumn("kg_ha_rel_global_30", ratio).drop("_global")
 
 
 def momentum(df: DataFrame) -> DataFrame:
