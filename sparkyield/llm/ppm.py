@@ -9,8 +9,7 @@ the next shorter context. A text's last symbol is an end mark.
 
 The trie lives in tables and grows with the texts. Only byte runs (and words, for the base
 score) that make up a fixed share of all occurrences go to the tasks, so their number has
-a bound that does not depend on the input; what is rarer is joined, once for each
-different text.
+a bound that does not depend on the input; what is rarer is joined.
 """
 
 from __future__ import annotations
@@ -27,6 +26,7 @@ from pyspark.sql import functions as F
 
 from sparkyield.llm.common import checkpointed
 from sparkyield.llm.interning import pieces, raw
+from sparkyield.runtime import small
 
 #: bytes of context; 9 bits a symbol, so at most 6
 ORDER = 4
@@ -35,7 +35,9 @@ END = 257
 SYMBOLS = 257
 #: a byte run or word goes to every task if it has this share of all occurrences
 RUN_SHARE = 1 << 21
-WORD_SHARE = 1 << 18
+WORD_SHARE = 1 << 19
+#: bytes of text looked up at once, few enough for a processor's cache
+NEAR = 1 << 18
 #: different byte runs or words that a task holds before it sends them on
 HELD = 2_000_000
 #: words that a task remembers, none longer than this
@@ -239,21 +241,33 @@ class Words:
     def __init__(self, frequent: dict[tuple[int, int], float]):
         self.frequent, self.known = frequent, {}
 
-    def __call__(self, word: bytes) -> float | tuple[int, int]:
-        """The score of a frequent word, the key of any other."""
-        got = self.known.get(word)
-        if got is None:
-            key = _word_key(word)
-            got = self.frequent.get(key, key)
-            if len(word) <= CACHED_BYTES:
-                if len(self.known) >= CACHE:
-                    self.known.clear()
-                self.known[word] = got
+    def first(self, word: bytes) -> float | tuple[int, int]:
+        """What :func:`split` needs of a word that is not remembered."""
+        key = _word_key(word)
+        got = self.frequent.get(key, key)
+        if len(word) <= CACHED_BYTES:
+            if len(self.known) >= CACHE:
+                self.known.clear()
+            self.known[word] = got
         return got
 
+    def split(self, met: Counter) -> tuple[float, int, list[tuple[int, int, int]]]:
+        """Score and number of the frequent words of ``met``; key and number of each other one."""
+        base, known, others, remembered = 0.0, 0, [], self.known
+        for word, n in met.items():
+            got = remembered.get(word)
+            if got is None:
+                got = self.first(word)
+            if type(got) is float:
+                base += n * got
+                known += n
+            else:
+                others.append((*got, n))
+        return base, known, others
+
 
 FIRST = (
-    "n_tokens bigint, n_known bigint, base_score double, score double, digest binary, "
+    "n_tokens bigint, n_known bigint, base_score double, score double, "
     "run array<bigint>, run_n array<bigint>, word_a array<bigint>, word_b array<bigint>, word_n array<bigint>"
 )
 
@@ -262,7 +276,7 @@ def _first(column, runs: Values, words: Words, order: int) -> list:
     """Columns of ``FIRST``: sums over frequent runs and words, and lists of all others."""
     data, at = raw(column)
     out = {c.split()[0]: [] for c in FIRST.split(", ")}
-    for _, ends in pieces(data, at):
+    for _, ends in pieces(data, at, NEAR):
         every, sizes = codes(data, ends, order)
         lp = runs.find(every)
         row = np.repeat(np.arange(len(sizes)), sizes)
@@ -271,27 +285,18 @@ def _first(column, runs: Values, words: Words, order: int) -> list:
         out["score"] += np.bincount(row, lp, len(sizes)).tolist()
         split = np.searchsorted(row[rare], np.arange(1, len(sizes)))
         for (a, b), some in zip(zip(ends[:-1], ends[1:]), np.split(every[rare], split)):
-            text = _lowered(data, a, b)
-            met = Counter(text.split())
+            met = Counter(_lowered(data, a, b).split())
             met[b""] = 1
-            base, known, others = 0.0, 0, []
-            for word, n in met.items():
-                got = words(word)
-                if isinstance(got, float):
-                    base += n * got
-                    known += n
-                else:
-                    others.append((*got, n))
+            base, known, others = words.split(met)
             code, code_n = np.unique(some, return_counts=True)
             out["n_tokens"].append(met.total())
             out["n_known"].append(known)
             out["base_score"].append(base)
-            out["digest"].append(xxhash.xxh3_128_digest(text) if others or len(code) else None)
             out["run"].append(code.tolist())
             out["run_n"].append(code_n.tolist())
             for i, c in enumerate(("word_a", "word_b", "word_n")):
                 out[c].append([x[i] for x in others])
-    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), *[pa.list_(pa.int64())] * 5]
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), *[pa.list_(pa.int64())] * 5]
     return [pa.array(v, k) for v, k in zip(out.values(), kinds)]
 
 
@@ -347,31 +352,28 @@ def score(
     names = [key, "held_out", *(c.split()[0] for c in FIRST.split(", "))]
     kind = docs.schema[key].dataType.simpleString()
     light = docs.select(F.col(key), F.col(text), (~training).alias("held_out"))
-    first = checkpointed(light.mapInArrow(scan, f"`{key}` {kind}, held_out boolean, {FIRST}"))
+    first = light.mapInArrow(scan, f"`{key}` {kind}, held_out boolean, {FIRST}")
+    # the stored table keeps the numbers
+    first = checkpointed(first.withColumn("no", F.monotonically_increasing_id()))
 
-    # every different text once
-    other = first.where("digest is not null").select("digest", "run", "run_n", "word_a", "word_b", "word_n")
-    other = other.dropDuplicates(["digest"])
-    zipped = F.explode(F.arrays_zip("run", "run_n")).alias("z")
-    rare = checkpointed(other.select("digest", zipped).select("digest", "z.run", "z.run_n"))
+    rare = first.select("no", F.explode(F.arrays_zip("run", "run_n")).alias("z")).select("no", "z.run", "z.run_n")
     lp = trie.scored(rare.select(F.col("run").alias("code")).distinct())
-    lp = checkpointed(lp).withColumnRenamed("code", "run")
-    by_run = rare.join(lp, "run").select(
-        "digest", (F.col("run_n") * F.col("lp")).alias("score"), F.lit(0.0).alias("base_score"), F.lit(0).cast("long").alias("n_known")
+    by_run = rare.join(small(lp.withColumnRenamed("code", "run")), "run").select(
+        "no", (F.col("run_n") * F.col("lp")).alias("score"), F.lit(0.0).alias("base_score"), F.lit(0).cast("long").alias("n_known")
     )
     zipped = F.explode(F.arrays_zip("word_a", "word_b", "word_n")).alias("z")
-    parts = other.select("digest", zipped).select("digest", F.col("z.word_a").alias("a"), F.col("z.word_b").alias("b"), "z.word_n")
+    parts = first.select("no", zipped).select("no", F.col("z.word_a").alias("a"), F.col("z.word_b").alias("b"), "z.word_n")
     parts = parts.join(words, ["a", "b"], "left")
     here = F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(below))
     by_word = parts.select(
-        "digest", F.lit(0.0).alias("score"), (F.col("word_n") * here).alias("base_score"),
+        "no", F.lit(0.0).alias("score"), (F.col("word_n") * here).alias("base_score"),
         F.when(F.col("n").isNotNull(), F.col("word_n")).otherwise(0).alias("n_known"),
     )
-    sums = by_run.unionByName(by_word).groupBy("digest").agg(
+    sums = by_run.unionByName(by_word).groupBy("no").agg(
         F.sum("score").alias("more_score"), F.sum("base_score").alias("more_base"), F.sum("n_known").alias("more_known")
     )
-    out = first.select(key, "held_out", "n_tokens", "n_known", "base_score", "score", "digest")
-    out = out.join(sums, "digest", "left")
+    out = first.select(key, "held_out", "n_tokens", "n_known", "base_score", "score", "no")
+    out = out.join(sums, "no", "left")
     more = lambda a, b: (F.col(a) + F.coalesce(F.col(b), F.lit(0))).alias(a)
     return out.select(
         key,
