@@ -16,13 +16,15 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from sparkyield import roles, runtime
 from sparkyield.functions import scalar
-from sparkyield.functions.ordered import COPY, Blocks, blocks
+from sparkyield.functions.ordered import COPY, Blocks, blocks, running_total
 from sparkyield.functions.quantiles import long_form, quantile_rows
 
 GROUPS = {"ff": ["fundo", "formato"], "f": ["fundo"], "fmt": ["formato"]}
 VALUES = [roles.TARGET, "kg_ha"]
 #: rows of a day-range frame that may be held as one array
 FRAME_ROWS = 200_000
+#: bins of a group's values in :func:`binned_medians`
+BINS = 32
 #: rows of a block handed to one sliding-median call
 ROLL_ROWS = 1_000_000
 
@@ -151,6 +153,54 @@ def simple_lags(df: DataFrame, key: list[str], scope: list[str]) -> DataFrame:
     return b.finish(out)
 
 
+def binned_medians(rows: DataFrame, days: DataFrame, by: list[str], limit: int | None = None) -> DataFrame:
+    """``(by, d, variable, median)``: medians of the season before each day of ``days``.
+
+    Order statistics on two levels. Each group's values are cut at its quantiles into
+    ``BINS`` bins, and a day has one vector of bin counts; a frame's vector is the sum of
+    those of its days and tells in which bin the middle lies. Only the value counts of
+    that bin are then looked at, so values are not copied into the frames they are in.
+    """
+    keys = by + ["variable"]
+    counts = long_form(rows, by + ["d"], VALUES).groupBy(*keys, "d", "value").count()
+    counts = runtime.materialize(counts.withColumnRenamed("count", "n"))
+    cuts = quantile_rows(counts, keys, "value", [i / BINS for i in range(1, BINS)], weight="n", limit=limit)
+    cell = F.size(F.filter("q", lambda q: q < F.col("value")))
+    binned = runtime.attach(counts, cuts, keys, "inner", check=True).withColumn("bin", cell).drop("q")
+    binned = runtime.materialize(binned)
+
+    entries = F.map_from_entries(F.collect_list(F.struct("bin", "n")))
+    vectors = binned.groupBy(*keys, "d", "bin").agg(F.sum("n").alias("n")).groupBy(*keys, "d").agg(entries.alias("m"))
+    each = days.withColumn("variable", F.explode(F.array(*[F.lit(v) for v in VALUES])))
+    none = F.array_repeat(F.lit(0).cast("long"), BINS)
+    dense = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: F.coalesce(F.col("m")[b], F.lit(0)))
+    each = runtime.attach(each, vectors, keys + ["d"]).withColumn("v", F.when(F.col("m").isNotNull(), dense))
+    frame = Window.partitionBy(*keys).orderBy("d").rangeBetween(-roles.SEASON_LOW, -roles.SEASON_HIGH)
+    # one row for each group and day: at most 31 vectors in a frame
+    total = F.aggregate(F.collect_list("v").over(frame), none, lambda a, v: F.zip_with(a, v, lambda x, y: x + y))
+    upto = F.aggregate(
+        "total",
+        F.array().cast("array<long>"),
+        lambda a, x: F.concat(a, F.array(x + F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0)))),
+    )
+    sums = each.select(*keys, "d", total.alias("total")).withColumn("upto", upto)
+    n = F.element_at("upto", -1)
+    spots = F.array(F.floor((n + 1) / 2).cast("long"), (F.floor(n / 2) + 1).cast("long"))
+    sums = sums.where(n > 0).withColumn("k", F.explode(F.array_distinct(spots)))
+    at = F.size(F.filter("upto", lambda x: x < F.col("k")))
+    earlier = F.when(F.col("bin") > 0, F.element_at("upto", F.col("bin"))).otherwise(0)
+    wanted = sums.withColumn("bin", at).withColumn("k", F.col("k") - earlier)
+    span = F.explode(F.sequence(F.col("d") - roles.SEASON_LOW, F.col("d") - roles.SEASON_HIGH))
+    wanted = wanted.select(*keys, "bin", "k", F.col("d").alias("t"), span.alias("d"))
+
+    inside = runtime.attach(binned, wanted, keys + ["bin", "d"], "inner")
+    spot = keys + ["t", "bin", "k"]
+    inside = inside.groupBy(*spot, "value").agg(F.sum("n").alias("n"))
+    ranked = running_total(inside, spot, ["value"], {"upto": F.col("n")}, limit)
+    found = ranked.where(F.col("upto") >= F.col("k")).groupBy(*spot).agg(F.min("value").alias("value"))
+    return found.groupBy(*keys, F.col("t").alias("d")).agg(F.avg("value").alias("median"))
+
+
 def seasonal_medians(
     df: DataFrame, scope: list[str], frame_rows: int | None = None
 ) -> DataFrame:
@@ -158,7 +208,7 @@ def seasonal_medians(
 
     All rows of one day share a frame, so the work is done once per (group,
     day). Short frames are merged from arrays per day; beyond ``frame_rows`` the
-    medians come from distributed value counts.
+    medians come from binned counts.
     """
     limit = FRAME_ROWS if frame_rows is None else frame_rows
     by = scope + GROUPS["ff"]
@@ -187,18 +237,9 @@ def seasonal_medians(
         )
         found = with_medians(sizes, {f"m_{v}": F.col(f"m_{v}") for v in VALUES})
     else:
-        span = F.explode(
-            F.sequence(F.col("d") + roles.SEASON_HIGH, F.col("d") + roles.SEASON_LOW)
-        )
-        counts = long_form(rows, by + ["d"], VALUES).groupBy(*by, "variable", "d", "value").count()
-        wanted = sizes.select(*by, F.col("d").alias("t"))
-        spread = counts.select(*by, "variable", "value", "count", span.alias("t"))
-        spread = runtime.attach(spread, wanted, by + ["t"], "inner")
-        medians = quantile_rows(
-            spread, by + ["t", "variable"], "value", [0.5], weight="count", largest=biggest
-        )
-        wide = medians.groupBy(*by, F.col("t").alias("d")).agg(
-            *[F.max(F.when(F.col("variable") == v, F.col("q")[0])).alias(f"m_{v}") for v in VALUES]
+        medians = binned_medians(rows, sizes.select(*by, "d"), by)
+        wide = medians.groupBy(*by, "d").agg(
+            *[F.max(F.when(F.col("variable") == v, F.col("median"))).alias(f"m_{v}") for v in VALUES]
         )
         found = runtime.attach(sizes, wide, by + ["d"])
     enough = F.col("frame_n") >= roles.LAG_MIN
