@@ -54,7 +54,20 @@ def adf(df):
     return series.adf(df, V, ORDER, Y)
 
 
-@query("D18", "harvest")
+SP = ", ".join(f"sum(c * l{k}) AS p{k}" for k in range(1, 21))
+SPEC0 = " + ".join(f"CASE WHEN m >= {k} THEN 2 * p{k} ELSE 0 END" for k in range(1, 21))
+SPEC1 = " + ".join(f"CASE WHEN m >= {k} THEN {2 * k} * p{k} ELSE 0 END" for k in range(1, 21))
+
+
+@query("D18", "harvest", f"""{C}, a AS (SELECT variedad, count(*) AS n, floor(pow(count(*)::DOUBLE, 2.0::DOUBLE / 9)) AS m, sum(c * c) AS p0, {SP} FROM lg GROUP BY 1),
+b AS (SELECT variedad, n, p0, least(n - 1, CAST(floor(1.1447::DOUBLE * pow(pow(({SPEC1}) / (p0 + {SPEC0}), 2), 1.0::DOUBLE / 3) * pow(n::DOUBLE, 1.0::DOUBLE / 3)) AS BIGINT)) AS l FROM a),
+i AS (SELECT variedad, c, row_number() OVER w AS i, sum(c) OVER (w ROWS UNBOUNDED PRECEDING) AS s FROM c WINDOW w AS (PARTITION BY variedad {ORD})),
+g AS (SELECT x.variedad, y.i - x.i AS k, sum(x.c * y.c) AS q FROM i x JOIN i y ON x.variedad = y.variedad JOIN b ON b.variedad = x.variedad AND y.i - x.i BETWEEN 1 AND b.l GROUP BY 1, 2),
+v AS (SELECT b.variedad, (any_value(p0) + coalesce(sum(2 * (1 - k / (l + 1.0::DOUBLE)) * q), 0)) / any_value(n) AS s2 FROM b LEFT JOIN g USING (variedad) GROUP BY 1),
+e AS (SELECT b.variedad, n, l, sum(s * s) / (n * n) / any_value(s2) AS q FROM i JOIN b USING (variedad) JOIN v USING (variedad) GROUP BY 1, 2, 3),
+t AS (SELECT *, CASE WHEN q <= 0.347 THEN 0.1 WHEN q < 0.463 THEN 0.1 - (q - 0.347) * 0.05 / 0.116 WHEN q < 0.574 THEN 0.05 - (q - 0.463) * 0.025 / 0.111
+ WHEN q < 0.739 THEN 0.025 - (q - 0.574) * 0.015 / 0.165 ELSE 0.01 END AS p FROM e)
+SELECT variedad, n, round(q, 6) AS statistic, l AS lags, round(p::DOUBLE, 6) AS p_value, p < 0.05 AS rejects FROM t WHERE n >= 30""")
 def kpss(df):
     return series.kpss(df, V, ORDER, Y)
 
