@@ -227,8 +227,10 @@ def fit(spark: SparkSession, pieces: DataFrame, sample_rows: int = SAMPLE_ROWS)
     The paragraphs are taken by hash order, without those that resemble a template. A
     fifth of all rows is held back for the calibration.
     """
-    sample = pieces.select("words").withColumn("o", F.xxhash64("words"))
-    sample = sample.dropDuplicates(["o"]).orderBy("o").limit(sample_rows).drop("o")
+    words = pieces.select("words").withColumn("o", F.xxhash64("words"))
+    # only hashes are shuffled; the words of the few paragraphs up to the last one follow
+    last = words.select("o").distinct().orderBy("o").limit(sample_rows).agg(F.max("o")).first()[0]
+    sample = words.where(F.col("o") <= F.lit(last).cast("long")).dropDuplicates(["o"]).drop("o")
     sample = checkpointed(sample.where(~resembling(F.col("words"), 0.5)))
     rows = training_rows(spark, sample).withColumn("part", F.pmod(F.xxhash64("words", "label"), F.lit(5)))
     rows = checkpointed(rows)
