@@ -174,7 +174,19 @@ def lights(df):
     )
 
 
-@query("E14", "pred")
+PW = " + ".join(f"CAST(u >= {c} AS INT)" for c in ev.POISSON)
+
+
+@query("E14", "pred", f"""h AS (SELECT variedad, y_true AS y, y_pred AS p, h, md5(concat_ws('|', {KEYS}, '42', h)) AS d FROM pred, range({-(-1000 // ev.DRAWS)}) r(h) WHERE y_true IS NOT NULL AND y_pred IS NOT NULL),
+l AS (SELECT variedad, y, p, h, CAST('0x' || substr(d, 1, 15) AS BIGINT) AS a, CAST('0x' || substr(d, 16, 15) AS BIGINT) AS b FROM h),
+u AS (SELECT variedad, y, p, h * {ev.DRAWS} + j + 1 AS rep, (((CASE WHEN j < 3 THEN a ELSE b END >> CAST(40 - 20 * (j % 3) AS BIGINT)) & 1048575) + 0.5::DOUBLE) / 1048576 AS u FROM l, range({ev.DRAWS}) s(j)),
+w AS (SELECT variedad, y, p, rep, ({PW})::DOUBLE AS w FROM u WHERE rep <= 1000),
+s AS (SELECT variedad, rep, sum(w * abs(p - y)) / sum(w) AS mae, sum(w * abs((p - y) / y)) FILTER (y <> 0) / sum(w) FILTER (y <> 0) * 100 AS mape,
+ 1 - sum(w * (p - y) * (p - y)) / (sum(w * y * y) - sum(w * y) * sum(w * y) / sum(w)) AS r2 FROM w WHERE w > 0 GROUP BY 1, 2),
+c AS (SELECT variedad, {', '.join(f'quantile_cont({m}, 0.025) AS {m}_low, quantile_cont({m}, 0.975) AS {m}_high' for m in ('mae', 'mape', 'r2'))} FROM s GROUP BY 1),
+t AS (SELECT variedad, count(*) AS n, avg(abs(y_pred - y_true)) AS mae, avg(abs((y_pred - y_true) / y_true)) FILTER (y_true <> 0) * 100 AS mape,
+ 1 - sum((y_pred - y_true) * (y_pred - y_true)) / (var_pop(y_true) * count(*)) AS r2 FROM pred WHERE y_pred IS NOT NULL GROUP BY 1)
+SELECT variedad, n, {', '.join(f'round({m}{e}, 6) AS {m}{e}' for m in ('mae', 'mape', 'r2') for e in ('', '_low', '_high'))} FROM t JOIN c USING (variedad)""")
 def bootstrap(df):
     return ev.bootstrap_ci(df, V, KEY)
 

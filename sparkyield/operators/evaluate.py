@@ -363,35 +363,69 @@ def traffic_light_mae(v: Column, target: float = roles.MAE_TARGET) -> Column:
     )
 
 
+#: uniform numbers of 20 bits that one text hash gives
+DRAWS = 6
+# fixed values: cumulative Poisson(1) probabilities for counts 0..8
+POISSON = [0.367879441, 0.735758882, 0.919698603, 0.981011843, 0.996340153, 0.999405815, 0.999916759, 0.999989751, 0.999998875]
+
+
+def poisson_weight(u: Column) -> Column:
+    """Poisson(1) count from a uniform number."""
+    return sum((F.when(u >= c, 1).otherwise(0) for c in POISSON[1:]), F.when(u >= POISSON[0], 1).otherwise(0))
+
+
+def replicate_weights(rows: DataFrame, key: list[str], keep: list[str], replicates: int, seed: int) -> DataFrame:
+    """``(keep..., _h, w0..w5)``: how often a row is drawn for the replicates 6 _h + 1 to 6 _h + 6.
+
+    One text hash of the key serves ``DRAWS`` replicates, so the draws are the same on
+    every run and in every engine. The rows are not moved; they are meant to be summed by
+    ``_h`` at once.
+    """
+    texts = [F.col(k).cast("string") for k in key]
+    turns = F.explode(F.sequence(F.lit(0), F.lit(-(-replicates // DRAWS) - 1))).alias("_h")
+    out = rows.select(*keep, F.concat_ws("|", *texts, F.lit(str(seed))).alias("_text"))
+    out = out.select(*keep, "_text", turns)
+    out = out.withColumn("_d", F.md5(F.concat_ws("|", "_text", F.col("_h").cast("string"))))
+    part = lambda at: F.conv(F.substring("_d", at, 15), 16, 10).cast("long")
+    out = out.select(*keep, "_h", part(1).alias("_p0"), part(16).alias("_p1"))
+    bits = lambda j: F.shiftright(f"_p{j // 3}", 40 - 20 * (j % 3)).bitwiseAND(F.lit((1 << 20) - 1))
+    uniform = {f"_u{j}": (bits(j) + 0.5) / float(1 << 20) for j in range(DRAWS)}
+    out = out.select(*keep, "_h", *[u.alias(k) for k, u in uniform.items()])
+    return out.select(*keep, "_h", *[poisson_weight(F.col(f"_u{j}")).alias(f"w{j}") for j in range(DRAWS)])
+
+
 def bootstrap_sums(df: DataFrame, by: list[str], key: list[str], replicates: int, seed: int) -> DataFrame:
-    """Poisson bootstrap: weighted metric sums per replicate.
+    """Poisson bootstrap: weighted metrics of every replicate.
 
-    Every row draws its Poisson(1) weight for each replicate from a hash of its
-    key, so a recomputed task draws the same weights. Rows are first split by
-    partial aggregation; only (report, replicate) sums are shuffled.
+    Each hash of a row adds its six weights to six sets of sums, so a row is taken a sixth
+    as often as there are replicates, and only sums by (report, ``_h``) are shuffled.
     """
-    u = (
-        F.pmod(F.xxhash64(F.lit(seed), F.col("rep"), *key), F.lit(1 << 30)) + F.lit(0.5)
-    ) / float(1 << 30)
-    # fixed values: cumulative Poisson(1) probabilities for counts 0..8
-    cuts = [0.367879441, 0.735758882, 0.919698603, 0.981011843, 0.996340153, 0.999405815, 0.999916759, 0.999989751, 0.999998875]
-    w = sum((F.when(u >= c, 1).otherwise(0) for c in cuts[1:]), F.when(u >= cuts[0], 1).otherwise(0))
     y, p = F.col("y_true"), F.col("y_pred")
-    rows = df.where(y.isNotNull() & p.isNotNull()).select(
-        *by, *key, "y_true", "y_pred", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep")
-    ).withColumn("w", w)
-    rows = rows.where(F.col("w") > 0)
-    w = F.col("w")
-    nz = F.when(y != 0, w)
-    return rows.groupBy(*by, "rep").agg(
-        F.sum(w).alias("n"),
-        (F.sum(w * F.abs(p - y)) / F.sum(w)).alias("mae"),
-        (F.sum(nz * F.abs((p - y) / y)) / F.sum(nz) * 100).alias("mape"),
-        (
-            1
-            - F.sum(w * (p - y) * (p - y))
-            / (F.sum(w * y * y) - F.sum(w * y) * F.sum(w * y) / F.sum(w))
-        ).alias("r2"),
+    rows = df.where(y.isNotNull() & p.isNotNull())
+    e = p - y
+    rows = rows.withColumns({"_abs": F.abs(e), "_sq": e * e, "_yy": y * y, "_nz": (y != 0).cast("int")})
+    rows = rows.withColumn("_ape", F.when(y != 0, F.abs(e / y)).otherwise(0.0))
+    values = ["y_true", "_abs", "_sq", "_yy", "_nz", "_ape"]
+    rows = replicate_weights(rows, key, [*by, *values], replicates, seed)
+    sums = []
+    for j in range(DRAWS):
+        w = F.col(f"w{j}")
+        sums += [F.sum(w).alias(f"n{j}"), *[F.sum(w * F.col(v)).alias(f"{v}{j}") for v in values]]
+    sums = rows.groupBy(*by, "_h").agg(*sums)
+    one = lambda j: F.struct(
+        (F.col("_h") * DRAWS + j + 1).alias("rep"), F.col(f"n{j}").alias("n"), *[F.col(f"{v}{j}").alias(v) for v in values]
+    )
+    reps = sums.select(*by, F.inline(F.array(*[one(j) for j in range(DRAWS)])))
+    reps = reps.where((F.col("rep") <= replicates) & (F.col("n") > 0))
+    n = F.col("n")
+    spread = F.nullif(F.col("_yy") - F.col("y_true") * F.col("y_true") / n, F.lit(0.0))
+    return reps.select(
+        *by,
+        "rep",
+        "n",
+        (F.col("_abs") / n).alias("mae"),
+        (F.col("_ape") / F.nullif(F.col("_nz"), F.lit(0)) * 100).alias("mape"),
+        (1 - F.col("_sq") / spread).alias("r2"),
     )
 
 

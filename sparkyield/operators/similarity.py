@@ -17,6 +17,7 @@ from sparkyield.functions.distributions import binomial_p, chi2_p, normal_two_si
 from sparkyield.functions.ordered import blocks, running_total
 from sparkyield.functions.quantiles import long_form, quantiles
 from sparkyield.operators.clean import apply_scale, fit_scale
+from sparkyield.operators.evaluate import poisson_weight
 
 #: share of the rows left after split, nested folds and outlier removal
 REDUCTION = (1 - 0.2) * (4 / 5) * (4 / 5) * (1 - 0.02)
@@ -302,12 +303,6 @@ def permanova(cents: DataFrame, features: list[str], permutations: int = 999, se
     return out.withColumn("passed", F.col("p_value") < 0.05)
 
 
-def poisson_weight(u: Column) -> Column:
-    """Poisson(1) count from a uniform number (fixed cumulative probabilities)."""
-    cuts = [0.367879441, 0.735758882, 0.919698603, 0.981011843, 0.996340153, 0.999405815, 0.999916759, 0.999989751, 0.999998875]
-    return sum((F.when(u >= c, 1).otherwise(0) for c in cuts), F.lit(0))
-
-
 def bootstrap_stability(
     scaled: DataFrame, key: list[str], features: list[str], anchors: list[str], assigned: DataFrame, replicates: int = 100, seed: int = 42
 ) -> DataFrame:
