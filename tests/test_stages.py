@@ -69,7 +69,7 @@ def test_validation_rows_do_not_change_the_fit(parts):
     rows = parts[0].withColumn("inner_fold", F.pmod(F.xxhash64(*KEY), F.lit(2)).cast("int"))
     spoilt = rows.withColumn("kg_ha", F.when(F.col("inner_fold") == 1, F.col("kg_ha") * 1e6).otherwise(F.col("kg_ha")))
     a, b = (
-        training.fold_models(r, KEY, V, NUM, 0, "inner_fold", "rf", [SMALL], prepare=lambda: stages.light_preparation(V, NUM))[0] for r in (rows, spoilt)
+        training.fold_models(r, KEY, V, NUM, 1, "inner_fold", "rf", [SMALL], prepare=lambda: stages.light_preparation(V, NUM))[0] for r in (rows, spoilt)
     )
     train = rows.where("inner_fold = 0")
     names = [*KEY, "y_pred"]
