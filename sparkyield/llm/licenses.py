@@ -198,7 +198,9 @@ class Scanner:
     def score(self, rows: DataFrame) -> DataFrame:
         """Add ``likely``: ``family``, ``confidence`` that it isn't unknown, and whether it
         is the ``best``, of each family whose confidence is at least a half."""
-        out = self.model.transform(vectors(rows)).withColumn("p", vector_to_array("probability"))
+        # through a generator, so that the model runs once for each row and not at every use of p
+        once = F.explode(F.array(vector_to_array("probability")))
+        out = self.model.transform(vectors(rows)).withColumn("p", once)
         names = F.array(*map(F.lit, FAMILIES[1:]))
         p, tiny = F.col("p"), F.lit(1e-12)
         _, best = _margin(p)
