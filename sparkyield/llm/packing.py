@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -26,6 +27,8 @@ LENGTH = 2048
 END = 50256
 #: tokens that are packed together
 GROUP = 2_000_000
+#: white space that is encoded apart: the coder's word pattern can't go back over a longer run
+RUN = 100_000
 
 
 class Room:
@@ -110,9 +113,35 @@ def _packed(docs: Iterator[tuple[object, np.ndarray]], length: int, group: int):
         yield [held[i] for i in row]
 
 
-def encoding(raw: bytes, special: dict[str, int] | None = None) -> tiktoken.Encoding:
+def encoding(raw: bytes, pattern: str = PATTERN) -> tiktoken.Encoding:
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}
-    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special or {})
+    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
+class Coder:
+    """Texts to ids; white space of any length is a word like others."""
+
+    def __init__(self, raw: bytes, longest: int = RUN):
+        self.coder = encoding(raw)
+        # a text as one word; without a look ahead the pattern needs no way back
+        self.word = encoding(raw, r"[\s\S]+")
+        self.long = regex.compile(rf"\p{{White_Space}}{{{longest},}}")
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a whole text.
+
+        The last character of white space before other characters is not part of the
+        run's word: a space goes to the next word, others stand alone.
+        """
+        parts, done = [], 0
+        for run in self.long.finditer(text):
+            start, end = run.span()
+            end -= end < len(text)
+            parts.append(self.coder.encode_to_numpy(text[done:start], disallowed_special=()))
+            parts.append(self.word.encode_to_numpy(text[start:end], disallowed_special=()))
+            done = end
+        parts.append(self.coder.encode_to_numpy(text[done:], disallowed_special=()))
+        return np.concatenate(parts)
 
 
 def _rows(docs, path, text, id_col, length, end, group, full: bool) -> DataFrame:
@@ -120,7 +149,7 @@ def _rows(docs, path, text, id_col, length, end, group, full: bool) -> DataFrame
     kind = docs.schema[id_col].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoding(raw.value)
+        coder = Coder(raw.value)
         docs_type = None
 
         def encoded():
@@ -128,8 +157,7 @@ def _rows(docs, path, text, id_col, length, end, group, full: bool) -> DataFrame
             for batch in batches:
                 docs_type = batch.column(0).type
                 for doc, value in zip(batch.column(0), texts(batch.column(1))):
-                    ids = coder.encode_to_numpy(value, disallowed_special=())
-                    yield doc.as_py(), np.append(ids, end).astype(np.int32)
+                    yield doc.as_py(), np.append(coder.encode(value), end).astype(np.int32)
 
         part, out = TaskContext.get().partitionId(), []
         for number, row in enumerate(_packed(encoded(), length, group)):

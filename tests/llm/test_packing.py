@@ -79,3 +79,28 @@ def test_written_and_empty(spark, make, tmp_path):
     # four ids each, two documents a row, three documents a partition
     assert sorted(len(r["docs"]) for r in back.collect()) == [1, 1, 1, 2, 2, 2]
     assert packing.pack(docs.where("doc_id < 0"), PATH).collect() == []
+
+
+def test_long_white_space():
+    """Runs of white space are encoded as the coder does where it can, and beyond."""
+    with open(PATH, "rb") as f:
+        raw = f.read()
+    short, whole = packing.Coder(raw, longest=3), packing.encoding(raw)
+    rng = random.Random(6)
+    for _ in range(3000):
+        text = "".join(rng.choice([" ", " ", "\n", "\t", "\u3000", "\x1c", "a", "ab", "'s", "1", "!"]) for _ in range(rng.randint(0, 40)))
+        assert short.encode(text).tolist() == whole.encode_ordinary(text), repr(text)
+    coder = packing.Coder(raw)
+    for run in (" " * 5_000_000, "\t " * 2_500_000, "\n" * 1_000_000):
+        for text in (run, "a" + run + "b"):
+            ids = coder.encode(text)
+            assert coder.coder.decode_bytes(ids.tolist()) == text.encode()
+
+
+def test_a_long_run_does_not_end_the_job(spark, make):
+    docs = make([(1, "a"), (2, "x" + " " * 1_500_000 + "y")])
+    packed = packing.pack(docs, PATH).collect()
+    tokens = sum(r["n_tokens"] for r in packed)
+    with open(PATH, "rb") as f:
+        coder = packing.Coder(f.read())
+    assert tokens == len(coder.encode("a")) + len(coder.encode("x" + " " * 1_500_000 + "y")) + 2
