@@ -157,3 +157,32 @@ def test_knn_outliers_drop_the_farthest(harvest):
     far = np.sort(d, axis=1)[:, 3]
     keep = x.index[far <= np.quantile(far, 0.9)]
     assert set(left.set_index(KEY).index) == set(keep)
+
+
+def test_lag_products_of_blocks(spark):
+    """Sums and ends per block add up to those of the group, without a window per lag."""
+    gen = np.random.default_rng(5)
+    x = {g: gen.normal(size=n) for g, n in (("a", 230), ("b", 41), ("c", 3))}
+    data = [(g, i, float(v)) for g, vs in x.items() for i, v in enumerate(vs)] + [("a", 999, None)]
+    df = spark.createDataFrame(data, "g string, i int, v double").repartition(3)
+    for limit in (None, 60):
+        out = series.lag_products(df, ["g"], ["i"], "v", 7, limit, ends=9)
+        assert "lag(" not in out._jdf.queryExecution().optimizedPlan().toString()
+        got = {r["g"]: r for r in out.collect()}
+        assert set(got) == set(x)
+        for g, v in x.items():
+            c = v - v.mean()
+            assert got[g]["n"] == len(v)
+            want = [float(c[k:] @ c[: len(c) - k]) if k < len(c) else 0.0 for k in range(8)]
+            assert np.allclose(got[g]["products"], want, atol=1e-9)
+            assert np.allclose(got[g]["head"], c[:9]) and np.allclose(got[g]["tail"], c[::-1][:9])
+
+
+def test_edge_sums():
+    x = np.random.default_rng(6).normal(size=40)
+    e = series.Edges(40, [float(x[k:] @ x[: 40 - k]) for k in range(9)], x[:20], x[::-1][:20])
+    for i in range(8):
+        for j in range(i, 8):
+            for start in range(j, 9):
+                want = sum(x[t - i] * x[t - j] for t in range(start, 40))
+                assert abs(e.sum2(i, j, start) - want) < 1e-9
