@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sparkyield import roles, runtime
 from sparkyield.functions.ordered import blocks, positioned, running_total
 from sparkyield.functions.quantiles import average_ranks, quantile_rows, quantiles, value_counts
-from sparkyield.operators import clean, drift, folds, lags, neighbors, series, similarity
+from sparkyield.operators import clean, drift, folds, lags, neighbors, profile, series, similarity
 from sparkyield.sources.fixtures import KEY
 
 V = ["variedad"]
@@ -186,3 +186,27 @@ def test_edge_sums():
             for start in range(j, 9):
                 want = sum(x[t - i] * x[t - j] for t in range(start, 40))
                 assert abs(e.sum2(i, j, start) - want) < 1e-9
+
+
+def test_rank_correlations_copy_no_rows_for_pairs(spark, monkeypatch):
+    """Nothing stored has more rows than the input, and ranks are those of each complete pair."""
+    gen = np.random.default_rng(7)
+    x = gen.normal(size=(120, 4))
+    x[gen.random((120, 4)) < 0.2] = np.nan
+    x[:, 3] = np.round(x[:, 3])
+    data = [("u" if i % 3 else "w", *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)]
+    df = spark.createDataFrame(data, "g string, a double, b double, c double, d double")
+    kept, plain = [], runtime.materialize
+
+    def store(t):
+        kept.append(plain(t))
+        return kept[-1]
+
+    monkeypatch.setattr(runtime, "materialize", store)
+    got = {(r["g"], r["a"], r["b"]): r["r"] for r in profile.spearman_pairs(df, ["g"], list("abcd")).collect()}
+    assert kept and all(t.count() <= 120 for t in kept)
+    local = pd.DataFrame(x, columns=list("abcd")).assign(g=[r[0] for r in data])
+    for (g, a, b), r in got.items():
+        whole = local[local.g == g][[a, b]].dropna()
+        assert abs(whole[a].rank().corr(whole[b].rank()) - r) < 1e-9
+    assert len(got) == 12
