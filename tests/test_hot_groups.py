@@ -210,3 +210,20 @@ def test_rank_correlations_copy_no_rows_for_pairs(spark, monkeypatch):
         whole = local[local.g == g][[a, b]].dropna()
         assert abs(whole[a].rank().corr(whole[b].rank()) - r) < 1e-9
     assert len(got) == 12
+
+
+def test_profile_measures_groups_once(harvest, monkeypatch):
+    """The profile bounds its groups by one pass, and one table of lag products serves a column's tests."""
+    from sparkyield.plans import profile as plan
+
+    df = harvest.where("variedad IN ('Brand#11', 'Brand#12')")
+    measured, made, group, products = [], [], runtime.largest_group, series.lag_products
+    monkeypatch.setattr(runtime, "largest_group", lambda t, by: measured.append(by) or group(t, by))
+    monkeypatch.setattr(series, "lag_products", lambda *a, **k: made.append(a[3]) or products(*a, **k))
+    tables = plan.profile_dataset(df, V, ORDER, roles.NUMERIC, roles.CATEGORICAL, "kg_jr_h", "fecha", 0)
+    assert made == ["kg_jr_h"]
+    # the profile itself, and the quantiles of whole rows of two tables
+    assert len(measured) <= 3
+    monkeypatch.undo()
+    for name, alone in (("acf", series.acf), ("pacf", series.pacf), ("ljung_box", series.ljung_box), ("adf", series.adf), ("kpss", series.kpss)):
+        assert rows(tables[f"{name}:kg_jr_h"]) == rows(alone(df, V, ORDER, "kg_jr_h")), name
