@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, NGram
+from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,7 +84,7 @@ CONFIRM = 0.6
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
+    return F.array_remove(F.split(F.lower(text), "[^a-z0-9]+"), "")
 
 
 def pairs_of(words: Column) -> Column:
@@ -109,18 +109,20 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
         F.xxhash64(value).alias("body"),
         F.explode(F.split(value, r"\n\s*\n")).alias("line"),
     )
-    words = lines.select("doc", "body", words_of(F.col("line")).alias("all")).where(F.size("all") > 0)
+    # through a generator, so that the words are found once and not again by the filter
+    once = F.explode(F.array(words_of(F.col("line"))))
+    words = lines.select("doc", "body", once.alias("all")).where(F.size("all") > 0)
     last = F.greatest(F.size("all") - PIECE + STEP - 1, F.lit(0))
     starts = F.sequence(F.lit(1), 1 + last, F.lit(STEP))
-    pieces = F.transform(starts, lambda i: F.slice("all", i, PIECE))
-    cut = F.when(F.size("all") <= PIECE, F.array("all")).otherwise(pieces)
-    return words.select("doc", "body", F.explode(cut).alias("words"))
+    cut = words.select("doc", "body", "all", F.explode(starts).alias("i"))
+    return cut.select("doc", "body", F.slice("all", F.col("i"), PIECE).alias("words"))
 
 
 def vectors(rows: DataFrame) -> DataFrame:
     """Add ``features``, which of the hashed words and word pairs ``words`` has."""
-    grams = NGram(n=2, inputCol="words", outputCol="_pairs").transform(rows)
-    terms = grams.withColumn("_terms", F.concat("words", "_pairs")).drop("_pairs")
+    n = F.greatest(F.size("words") - 1, F.lit(0))
+    both = F.zip_with(F.slice("words", 1, n), F.slice("words", 2, n), lambda a, b: F.concat(a, F.lit(" "), b))
+    terms = rows.withColumn("_terms", F.concat("words", both))
     hashed = HashingTF(numFeatures=BUCKETS, binary=True, inputCol="_terms", outputCol="features")
     return hashed.transform(terms).drop("_terms")
 
@@ -204,14 +206,19 @@ class Scanner:
         names = F.array(*map(F.lit, FAMILIES[1:]))
         p, tiny = F.col("p"), F.lit(1e-12)
         _, best = _margin(p)
+        known = F.slice(p, 2, len(FAMILIES) - 1)
+
+        def certain(share: Column) -> Column:
+            margin = F.log(F.greatest(share, tiny)) - F.log(F.greatest(p[0], tiny))
+            return 1 / (1 + F.exp(-(F.lit(self.slope) * margin + F.lit(self.offset))))
 
         def rated(name: Column, i: Column) -> Column:
-            margin = F.log(F.greatest(F.get(p, i + 1), tiny)) - F.log(F.greatest(p[0], tiny))
-            certain = 1 / (1 + F.exp(-(F.lit(self.slope) * margin + F.lit(self.offset))))
-            return F.struct(name.alias("family"), certain.alias("confidence"), (i + 1 == best).alias("best"))
+            return F.struct(name.alias("family"), certain(F.get(p, i + 1)).alias("confidence"), (i + 1 == best).alias("best"))
 
         likely = F.filter(F.transform(names, rated), lambda x: x["confidence"] >= 0.5)
-        out = out.withColumn("likely", likely)
+        # the confidence rises or falls with the share, so one family tells if any reaches a half
+        most = certain(F.array_max(known) if self.slope >= 0 else F.array_min(known))
+        out = out.withColumn("likely", F.when(most >= 0.5, likely).otherwise(F.array()))
         return out.drop("features", "p", *[c for c in ("rawPrediction", "probability", "prediction")])
 
 

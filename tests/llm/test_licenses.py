@@ -1,6 +1,8 @@
+import math
 import random
 
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from sparkyield.llm import licenses
@@ -99,3 +101,30 @@ def test_word_pairs(spark, text, pairs):
 
 def test_no_documents(make):
     assert licenses.scan(make([(1, "a")]).where("doc_id < 0")).collect() == []
+
+
+def test_words_of_a_paragraph_are_found_once(make):
+    """The filter on paragraphs without a word does not repeat the search for words."""
+    plan = licenses.paragraphs(make([(1, "a b")]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lower(") == 1
+    rows = [(1, "--One, 2two\t(three)!"), (2, "İx Été"), (3, "-\n\n?"), (4, "\nz")]
+    got = {r["doc"]: r["words"] for r in licenses.paragraphs(make(rows)).collect()}
+    assert got == {1: ["one", "2two", "three"], 2: ["i", "x", "t"], 4: ["z"]}
+
+
+@pytest.mark.parametrize("slope", [1.5, -0.5])
+def test_a_family_is_likely_from_a_half(spark, make, slope):
+    """Scored by the best share (the least one if confidence falls with it)."""
+    shares = [[0.9] + [0.01] * 10, [0.05] * 10 + [0.5], [0.0] + [0.1] * 10]
+    rows = spark.createDataFrame([(i, p) for i, p in enumerate(shares)], "i int, p array<double>")
+
+    class Model:
+        def transform(self, rows):
+            return rows.withColumn("probability", array_to_vector("p")).drop("p")
+
+    rows = rows.withColumn("words", F.array(F.lit("a")))
+    got = {r["i"]: {x["family"] for x in r["likely"]} for r in licenses.Scanner(Model(), slope, 0.2).score(rows).collect()}
+    for i, p in enumerate(shares):
+        margins = [math.log(max(x, 1e-12)) - math.log(max(p[0], 1e-12)) for x in p[1:]]
+        want = {f for f, m in zip(licenses.FAMILIES[1:], margins) if 1 / (1 + math.exp(-(slope * m + 0.2))) >= 0.5}
+        assert got[i] == want
