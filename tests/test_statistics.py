@@ -183,3 +183,25 @@ def test_grid_of_few_values_is_the_values(spark):
     df = spark.createDataFrame([(float(i % 3),) for i in range(30)], "x double")
     got = training.partial_dependence(Model(), df, "x").orderBy("grid").collect()
     assert [(r["grid"], r["pred_mean"]) for r in got] == [(0.0, 0.0), (1.0, 2.0), (2.0, 4.0)]
+
+
+@pytest.mark.parametrize("limit", [None, 5])
+def test_outliers_come_from_value_counts(spark, monkeypatch, limit):
+    """Quantiles read one row per value, not per row; counts are those of every row."""
+    rng = np.random.default_rng(3)
+    data = {g: np.round(rng.standard_t(2, size=300) * 8) / 8 for g in "ab"}
+    rows = [(g, float(v)) for g, x in data.items() for v in x] + [("a", None), ("b", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    values = sum(len(np.unique(x)) for x in data.values())
+    read, real = [], profile.quantile_rows
+    monkeypatch.setattr(profile, "quantile_rows", lambda df, *a, **k: read.append(df.count()) or real(df, *a, **k))
+    if limit:
+        monkeypatch.setattr(profile.runtime, "GROUP_ROWS", limit)
+    got = {r["g"]: tuple(r)[2:] for r in profile.outlier_counts(df, ["g"], ["x"], 301).collect()}
+    for g, x in data.items():
+        q1, md, q3 = np.percentile(x, [25, 50, 75])
+        mad = np.median(np.abs(x - md))
+        iqr = (x < q1 - 1.5 * (q3 - q1)) | (x > q3 + 1.5 * (q3 - q1))
+        z = np.abs((x - x.mean()) / x.std(ddof=1)) > 3
+        assert got[g] == (iqr.sum(), z.sum(), (np.abs(0.6745 * (x - md) / mad) > 3.5).sum())
+    assert len(read) == 2 and max(read) <= values < 602
