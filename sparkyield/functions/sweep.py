@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkyield import runtime
-from sparkyield.functions.ordered import boundaries, range_number
+from sparkyield.functions.ordered import boundaries, in_ranges
 
 # executors need not have this package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -57,8 +57,8 @@ def sweep(counts: DataFrame, series: list[str], names: list[str], work: Callable
     order = [*series, "value"]
     cuts = boundaries(counts, order, ranges)
     code = (F.array_position(F.array(*[F.lit(x) for x in names]), F.col("variedad")) - 1).cast("int")
-    placed = counts.where(F.col("variedad").isin(names)).select(
-        range_number(counts, order, cuts).alias("_part"), *series, "value", code.alias("_g"), F.col("n").cast("double").alias("_n")
+    placed = in_ranges(counts.where(F.col("variedad").isin(names)), order, cuts).select(
+        "_part", *series, "value", code.alias("_g"), F.col("n").cast("double").alias("_n")
     )
     here = ["_part", *series]
     per = runtime.materialize(
