@@ -205,3 +205,25 @@ def test_outliers_come_from_value_counts(spark, monkeypatch, limit):
         z = np.abs((x - x.mean()) / x.std(ddof=1)) > 3
         assert got[g] == (iqr.sum(), z.sum(), (np.abs(0.6745 * (x - md) / mad) > 3.5).sum())
     assert len(read) == 2 and max(read) <= values < 602
+
+
+def test_bootstrap_sums_are_those_of_the_text_hash(spark):
+    import hashlib
+
+    rows = [("a" if i % 3 else None, i, None if i == 5 else f"k{i % 4}", float(i), 2.0 * i - 7) for i in range(40)]
+    df = spark.createDataFrame(rows, "g string, i long, k string, y double, z double").repartition(3)
+    got = evaluate.replicate_sums(df, ["g"], ["y", "z"], ["i", "k"], 20, 42)
+    want = {}
+    for g, i, k, y, z in rows:
+        text = "|".join([str(i), *([k] if k else []), "42"])
+        for rep in range(1, 21):
+            h, j = divmod(rep - 1, evaluate.DRAWS)
+            d = hashlib.md5(f"{text}|{h}".encode()).hexdigest()
+            bits = (int(d[:15] if j < 3 else d[15:30], 16) >> (40 - 20 * (j % 3))) & ((1 << 20) - 1)
+            w = sum((bits + 0.5) / (1 << 20) >= c for c in evaluate.POISSON)
+            n, sy, sz = want.get((g, rep), (0, 0.0, 0.0))
+            want[g, rep] = (n + w, sy + w * y, sz + w * z)
+    assert {(r["g"], r["rep"]): (r["n"], r["y"], r["z"]) for r in got.collect()} == want
+    # only sums leave the tasks: no row is copied for a replicate
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
