@@ -2,9 +2,11 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sparkyield.functions import sweep
 from sparkyield.operators import similarity
+from sparkyield.operators.evaluate import POISSON
 
 
 def table(spark, seed=3):
@@ -43,3 +45,35 @@ def test_no_row_is_copied_for_a_pair(spark):
     counts = df.groupBy("variedad", "variable", "value").count().withColumnRenamed("count", "n")
     few, many = similarity.pair_counts(counts, ["a"]), similarity.pair_counts(counts, ["a", "b", "c"])
     assert few.counts.count() == many.counts.count() == counts.count()
+
+
+def test_all_replicates_in_one_pass(spark):
+    """Vectors of weights give the distances that exploded replicates give."""
+    r, span = 7, 1 << 30
+    rng = np.random.default_rng(4)
+    rows = []
+    for v, n in (("a", 1), ("b", 60), ("c", 200), ("x", 150), ("y", 90)):
+        for i in range(n):
+            rows.append((v, float(rng.integers(0, 4)), float(rng.normal()), 1.5, [int(d) for d in rng.integers(0, span, r)]))
+    df = spark.createDataFrame(rows, "variedad string, f double, g double, h double, draws array<int>").repartition(3)
+    features, anchors = ["f", "g", "h"], ["x", "y"]
+    left, fixed = df.where("variedad < 'x'"), similarity.feature_counts(df.where("variedad >= 'x'"), features)
+    folded = sweep.weighted_counts(left, features, r, span, POISSON)
+    counts = similarity.runtime.materialize(folded.unionByName(fixed, allowMissingColumns=True))
+    got = similarity.replicate_distances(similarity.pair_counts(counts, anchors), r, limit=40)
+
+    reps = F.explode(F.sequence(F.lit(1), F.lit(r))).alias("rep")
+    u = (F.element_at("draws", F.col("rep")) + 0.5) / float(span)
+    w = sum((F.when(u >= c, 1).otherwise(0) for c in POISSON), F.lit(0))
+    plain = similarity.feature_counts(left.select("*", reps).withColumn("w", w).where("w > 0"), features, ["rep"], "w")
+    want = similarity.wasserstein(similarity.pair_counts(plain.unionByName(fixed.select("*", reps)), anchors, ["rep"]))
+    key = ["rep", "variedad", "ancla"]
+    a, b = (d.select(*key, "distancia").sort(*key).toPandas() for d in (got, want))
+    assert 0 < len(a) < 3 * 2 * r + 1 and a[key].equals(b[key])
+    np.testing.assert_allclose(a["distancia"], b["distancia"], rtol=1e-9)
+
+
+def test_a_hot_value_is_one_row_for_many(spark):
+    df = spark.range(3_000, numPartitions=1).select(F.lit("v").alias("variedad"), F.lit(2.0).alias("f"), F.array(F.lit(0), F.lit(9)).alias("draws"))
+    (row,) = sweep.weighted_counts(df, ["f"], 2, 10, [0.5, 0.9]).collect()
+    assert (row["variable"], row["value"]) == ("f", 2.0) and np.frombuffer(row["w"], "<i4").tolist() == [0, 6_000]
